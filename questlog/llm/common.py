@@ -22,10 +22,10 @@ def crc_is(column: str, modulus: int, remainder: int) -> Column:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; a temporary one of our own only where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        found = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+        found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
 
 
