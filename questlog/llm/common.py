@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,22 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def by_size(texts: Iterable, limit: int = 1 << 21) -> Iterator[list[str | None]]:
+    """Lists of texts of about so many characters, so that what is made of one at a time stays
+    small; a longer text comes alone. Missing values are None."""
+    part: list[str | None] = []
+    size = 0
+    for x in texts:
+        x = x if isinstance(x, str) else None
+        if part and size + len(x or "") > limit:
+            yield part
+            part, size = [], 0
+        part.append(x)
+        size += len(x or "")
+    if part:
+        yield part
+
+
 def _signature(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_000_007)).first())
 

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from questlog.llm.common import by_size
+
 #: Symbols parsed as one piece; no phrase runs over the end of a block.
 BLOCK = 256
 #: Characters of labelled text for each language, the documented bound of the fitted sample.
@@ -202,7 +204,8 @@ def detect_language(docs: DataFrame, model: Model, text: str = "text") -> DataFr
     @F.pandas_udf("lang_pred string, score double, bits double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            names, scores, bits = identify(shared.value, [None if x is None or x != x else x for x in texts])
+            found = [identify(shared.value, part) for part in by_size(texts)]
+            names, scores, bits = ([x for part in column for x in part] for column in zip(*found)) if found else ([], [], [])
             yield pd.DataFrame({"lang_pred": names, "score": scores, "bits": bits})
 
     found = docs.withColumn("_lang", run(F.col(text)))
