@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from questlog.llm.common import cut
+from questlog.llm.common import by_size, cut
 
 #: Words of a window, and of the grams whose smallest hashes are kept.
 WINDOW = 10
@@ -132,9 +132,12 @@ def _fingerprints(df: DataFrame, text: str, lengths: list[int], keep: np.ndarray
     @F.pandas_udf("n_words long, prints array<struct<hash:long,length:int,pos:int,context:array<string>>>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            values = [x if isinstance(x, str) else None for x in texts]
-            words, rows = _rows(values, lengths, shared.value, items)
-            yield pd.DataFrame({"n_words": words.count, "prints": [[{"hash": h, "length": n, "pos": p, "context": c} for h, n, p, c in r] for r in rows]})
+            counts, prints = [], []
+            for part in by_size(texts):
+                words, rows = _rows(part, lengths, shared.value, items)
+                counts += words.count.tolist()
+                prints += [[{"hash": h, "length": n, "pos": p, "context": c} for h, n, p, c in r] for r in rows]
+            yield pd.DataFrame({"n_words": counts, "prints": prints})
 
     return df.withColumn("_f", run(F.col(text))).select("*", "_f.n_words", "_f.prints").drop("_f")
 
