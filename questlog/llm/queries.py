@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from questlog.llm import langid, packing, secrets, simhash, winnow
+from questlog.llm import chat, langid, packing, pii, secrets, simhash, winnow
 from questlog.llm.common import crc_is, table
 
 
@@ -30,6 +30,13 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digest(chat.format_conversations(turns.unionByName(more)))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).drop("text")
 
@@ -45,6 +52,14 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.detect_language(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    s = F.col("pii")
+    return found.select(
+        "doc_id", *[_count(s, k).alias(f"n_{k}") for k in pii.BASE], F.sha2(_joined(s, pii.BASE), 256).alias("base_sha256"), _joined(s).alias("spans")
+    )
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -57,6 +72,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op4_packing, op5_benchmark_decontamination, op7_language_id, op10_simhash_near_dedup, pipeline)
+    f.__name__: f for f in (op1_secret_scans, op3_chat_formatting, op4_packing, op5_benchmark_decontamination, op7_language_id, op8_pii, op10_simhash_near_dedup, pipeline)
 }
 ORACLE_SQL: dict[str, str] = {}
