@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from questlog.llm import chat, langid, packing, pii, secrets, simhash, winnow
+from questlog.llm import chat, egojoin, langid, packing, pii, secrets, simhash, winnow
 from questlog.llm.common import crc_is, table
 
 
@@ -45,6 +45,10 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return winnow.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return egojoin.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_is("doc_id", 4, 2)
@@ -72,6 +76,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op3_chat_formatting, op4_packing, op5_benchmark_decontamination, op7_language_id, op8_pii, op10_simhash_near_dedup, pipeline)
+    f.__name__: f for f in (op1_secret_scans, op3_chat_formatting, op4_packing, op5_benchmark_decontamination, op6_embedding_near_dedup, op7_language_id, op8_pii, op10_simhash_near_dedup, pipeline)
 }
 ORACLE_SQL: dict[str, str] = {}
