@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from questlog.llm import chat, egojoin, langid, packing, pii, secrets, simhash, winnow
+from questlog.llm import chat, egojoin, langid, lm, packing, pii, quality, secrets, simhash, winnow
 from questlog.llm.common import crc_is, table
 
 
@@ -30,6 +30,14 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = crc_is("doc_id", 4, 2)
+    known = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("label"))
+    net = quality.fit(docs.where(~held_out).select("doc_id", "text").join(known, "doc_id").select("text", "label"))
+    return quality.classify(docs, net).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -64,6 +72,11 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm.score_texts(docs.withColumn("held_out", crc_is("doc_id", 5, 1)))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -76,6 +89,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op3_chat_formatting, op4_packing, op5_benchmark_decontamination, op6_embedding_near_dedup, op7_language_id, op8_pii, op10_simhash_near_dedup, pipeline)
+    f.__name__: f for f in (op1_secret_scans, op2_quality_classifier, op3_chat_formatting, op4_packing, op5_benchmark_decontamination, op6_embedding_near_dedup, op7_language_id, op8_pii, op9_lm_scoring, op10_simhash_near_dedup, pipeline)
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -36,14 +36,16 @@ def _inverse(base: int) -> int:
 
 
 class Words:
-    """The words of a batch of texts, and a hash of each; of: the text that each belongs to."""
+    """The words of a batch of texts, and a hash of each; of: the text that each belongs to.
 
-    def __init__(self, texts: list[str | None]):
+    Words are runs of the bytes that kinds marks, letters A-Z lowered; a space is never among them."""
+
+    def __init__(self, texts: list[str | None], kinds: np.ndarray = _WORD):
         raw = [(t or "").encode("utf-8", "replace") for t in texts]
         self.data = _GAP.join(raw)
         low = _LOWER[np.frombuffer(self.data, np.uint8)] if self.data else np.zeros(0, np.uint8)
         self.low = low.tobytes()
-        inside = np.concatenate([[False], _WORD[low], [False]])
+        inside = np.concatenate([[False], kinds[low], [False]])
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         self.start, self.end = edges[0::2], edges[1::2]
         ends = np.cumsum([len(r) + 1 for r in raw])
