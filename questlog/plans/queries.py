@@ -299,10 +299,10 @@ def strict_key_dedupe(s, d):
     return _flat(load.strict_key_dedupe(_rows(s, d)))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey FROM (SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS l_shipdate, l_partkey, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY CAST(l_shipdate AS DATE), l_partkey) AS n FROM lineitem) AS x WHERE n = 1")
+@query("SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate, l_partkey FROM (SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS l_shipdate, l_partkey, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY CAST(l_shipdate AS DATE), l_partkey) AS n FROM lineitem) AS x WHERE n = 1")
 def strict_key_dedupe_lineitem(s, d):
     rows = _table(s, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("l_shipdate"), "l_partkey")
-    return load.strict_key_dedupe(rows, ["l_orderkey", "l_linenumber"], "l_shipdate")
+    return load.strict_key_dedupe(rows, ["l_orderkey", "l_linenumber"], "l_shipdate").withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
 
 
 @query(_with("""SELECT (SELECT count(*) FROM rows_) AS copied, (SELECT count(*) FROM loaded) AS inserted, (SELECT count(*) FROM rows_) - (SELECT count(*) FROM loaded) AS duplicates_ignored,
@@ -350,7 +350,7 @@ def _points(s, d):
     )
 
 
-@query("""SELECT operation, component, name, shard_id, sum(value) AS total, count(*) AS points, CAST(grouping(shard_id) AS INT) AS all_shards FROM (SELECT event_type AS operation, 'host' || (user_id % 3) AS component, 'shard-' || (event_id % 4) AS shard_id, 'latency' AS name, CAST(floor(value) AS BIGINT) AS value FROM events) AS p
+@query("""SELECT operation, component, name, shard_id, CAST(sum(value) AS BIGINT) AS total, count(*) AS points, CAST(grouping(shard_id) AS INT) AS all_shards FROM (SELECT event_type AS operation, 'host' || (user_id % 3) AS component, 'shard-' || (event_id % 4) AS shard_id, 'latency' AS name, CAST(floor(value) AS BIGINT) AS value FROM events) AS p
  GROUP BY GROUPING SETS ((operation, component, name), (operation, component, name, shard_id))""")
 def metrics_by_shard(s, d):
     return metrics.metrics_by_shard(_points(s, d)).withColumn("total", F.col("total").cast("long"))
