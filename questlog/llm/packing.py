@@ -8,8 +8,6 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from questlog.llm.common import cut
-
 #: A token, as a pattern; white space in front of one and at the end of a text goes with it.
 TOKEN = r"\S+"
 MAX_TOKENS = 4096
@@ -84,7 +82,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_tokens
     ones of white space only, are pieces of no tokens. Repeated rows are packed each; pieces of a
     bucket are numbered by shards of their hash, so no bucket is ever in one task.
     """
-    pieces = cut(cut_pieces(docs, doc_id, text, max_tokens))
+    pieces = cut_pieces(docs, doc_id, text, max_tokens)  # counted anew where it is used: cheaper than texts on disk
     histogram = pieces.groupBy("n_tokens").count().collect()
     counts = {r["n_tokens"]: r["count"] for r in histogram}
     bounds = optimal_bounds(list(counts), list(counts.values()), buckets)
