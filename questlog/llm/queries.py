@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from questlog.llm import chat, egojoin, langid, lm, packing, pii, quality, secrets, simhash, winnow
 from questlog.llm.common import crc_is, table
+from questlog.llm.sql import ORACLE_SQL  # noqa: F401
 
 
 def _joined(spans, digest_kinds=None):
@@ -91,4 +92,3 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_secret_scans, op2_quality_classifier, op3_chat_formatting, op4_packing, op5_benchmark_decontamination, op6_embedding_near_dedup, op7_language_id, op8_pii, op9_lm_scoring, op10_simhash_near_dedup, pipeline)
 }
-ORACLE_SQL: dict[str, str] = {}
