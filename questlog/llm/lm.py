@@ -1,11 +1,11 @@
-"""Language-model scores by logistic mixing of hashed-context bit predictors, and by word counts."""
+"""Language-model scores by logistic mixing of context bit predictors, and by word counts."""
 
 from __future__ import annotations
 
 import heapq
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -18,16 +18,17 @@ from questlog.llm.winnow import Words
 #: Bytes and one end of text.
 SYMBOLS = 257
 END = 256
-#: Preceding bytes that the hashed predictors see; the first predictor sees one.
+#: Preceding bytes that the context predictors see; the first predictor sees one.
 ORDERS = (2, 4)
-#: Slots of a hashed predictor, and of a row in which its counts travel.
+#: Characters whose symbols and contexts are laid out at once.
 SLOTS = 1 << 19
-CHUNK = 1 << 12
+#: Bits of a preceding byte and symbol, of a node, and of a cell (the bytes before that, and a node).
+_KEY_BITS, _NODE_BITS, _CELL_BITS = 17, 16, 40
 #: Symbols after which the mixer starts anew, with the preceding bytes as context.
 SEGMENT = 512
 #: Segments mixed side by side, and bits of each between two steps of the weights.
 STREAMS = 512
-STEP = 16
+STEP = 8
 RATE = 0.02
 #: First weights of the predictors; the gate adds a second set from the second bit of a symbol on.
 START = (0.25, 0.4, 0.6)
@@ -112,28 +113,28 @@ def _symbols(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return starts, back[0].astype(np.int32) * SYMBOLS + symbols, back[1] | back[2] << np.uint32(8) | back[3] << np.uint32(16)
 
 
-def _bits(code: Code, key: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each bit of each symbol, the step of its way and the hashes of its context for the two
-    hashed predictors in one number; and where the bits of each symbol begin."""
-    length = code.length[key]
-    ends = np.cumsum(length, dtype=np.int64)
-    first = np.concatenate([[0], ends])
-    way = np.repeat(code.at[key] - first[:-1].astype(np.int32), length)
-    way += np.arange(len(way), dtype=np.int32)
-    seen = np.empty((len(key), len(ORDERS)), np.uint32)
-    for i, order in enumerate(ORDERS):
-        seen[:, i] = _scatter((context & np.uint32((1 << 8 * (order - 1)) - 1)) + np.uint32(1))
-    return _take(code.packed, way), np.repeat(seen.view(np.uint64).ravel(), length), first
+@dataclass(frozen=True)
+class Layout:
+    """The steps of the ways of a part's distinct symbols in context, one after the other.
 
+    place: of each symbol of the part, its number among the distinct ones, whose steps are
+    first[place] .. first[place + 1]; step: each step as in Code; cells: for each context
+    predictor, each step's context and node in one number, exactly."""
 
-def _scatter(x: np.ndarray) -> np.ndarray:
-    x = x * np.uint32(0x9E3779B1)
-    return x ^ (x >> np.uint32(15))
+    place: np.ndarray
+    first: np.ndarray
+    step: np.ndarray
+    cells: list[np.ndarray]
 
 
-def _slot(mixed: np.ndarray, node: np.ndarray) -> np.ndarray:
-    """The slot of a context and node in a hashed predictor."""
-    return ((mixed + node.astype(np.uint32) * np.uint32(0x85EBCA6B)) * np.uint32(0xC2B2AE35) >> np.uint32(13)).view(np.int32)
+def _layout(code: Code, key: np.ndarray, context: np.ndarray) -> Layout:
+    kinds, place = np.unique(context.astype(np.int64) << _KEY_BITS | key, return_inverse=True)
+    key, seen = kinds & ((1 << _KEY_BITS) - 1), kinds >> _KEY_BITS
+    length = code.length[key]
+    first = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])
+    step = _take(code.packed, np.repeat(code.at[key] - first[:-1], length) + np.arange(first[-1]))
+    cells = [np.repeat((seen & ((1 << 8 * (order - 1)) - 1)) << _NODE_BITS, length) | (step & 0xFFFF) for order in ORDERS]
+    return Layout(place, first, step, cells)
 
 
 def _stretch(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -142,54 +143,56 @@ def _stretch(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
+    """hashed: for each context predictor, the stretched counts of the cells in cells, which are
+    sorted; a cell that is not there has been seen by no one and is even."""
+
     code: Code
     first: np.ndarray
     hashed: list[np.ndarray]
-
-
-def _slot_counts(docs: DataFrame, code: Code) -> np.ndarray:
-    """Zeros and ones seen in each slot of each hashed predictor: gathered in rows of CHUNK slots,
-    summed in two steps so that a sum never reads more than a bounded share of the tasks."""
-    shared = docs.sparkSession.sparkContext.broadcast(code)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = [np.zeros(2 * SLOTS, np.int64) for _ in ORDERS]
-        for b in batches:
-            for part in by_size(b["text"], 1 << 20):
-                step, mixed, _ = _bits(shared.value, *_symbols(part)[1:])
-                node, bit = step & 0xFFFF, step >> 16 & 1
-                for i, t in enumerate(total):
-                    t += np.bincount(_slot(mixed.view(np.uint32)[i :: len(ORDERS)], node) * 2 + bit, minlength=2 * SLOTS)
-        for o, t in enumerate(total):
-            rows = t.reshape(-1, 2 * CHUNK)
-            full = np.flatnonzero(rows.any(axis=1))
-            yield pd.DataFrame({"chunk": o * (SLOTS // CHUNK) + full, "counts": [rows[i].tobytes() for i in full]})
-
-    def add(group: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(2 * CHUNK, np.int64)
-        for c in group["counts"]:
-            total += np.frombuffer(c, np.int64)
-        return pd.DataFrame({"chunk": [group["chunk"].iloc[0]], "counts": [total.tobytes()]})
-
-    rows = docs.select("text").mapInPandas(run, "chunk long, counts binary").withColumn("share", F.spark_partition_id() % 256)
-    some = rows.groupBy("chunk", "share").applyInPandas(add, "chunk long, counts binary")
-    found = some.groupBy("chunk").applyInPandas(add, "chunk long, counts binary").toPandas()
-    out = np.zeros((len(ORDERS) * SLOTS // CHUNK, 2 * CHUNK), np.int64)
-    for chunk, counts in zip(found["chunk"], found["counts"]):
-        out[chunk] = np.frombuffer(counts, np.int64)
-    return out.reshape(len(ORDERS), SLOTS, 2)
-
-
-def fit(docs: DataFrame, pairs: np.ndarray) -> Model:
-    """Count contexts over all the texts of docs; the tables have one size whatever the input.
-    pairs: how often each symbol follows each byte in them."""
+    cells: list[np.ndarray] = field(default_factory=lambda: [np.zeros(0, np.int64) for _ in ORDERS])
+
+
+def _context_counts(code: Code, texts: list[str | None], train: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each context predictor, the distinct cells of all texts in order, and the zeros and ones
+    of each in training texts."""
+    found: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in ORDERS]
+    lo = 0
+    for part in by_size(texts, SLOTS):
+        starts, key, context = _symbols(part)
+        x = _layout(code, key, context)
+        learned = np.repeat(train[lo : lo + len(part)], np.diff(starts))
+        n = np.repeat(np.bincount(x.place[learned], minlength=len(x.first) - 1), np.diff(x.first))
+        for cells, seen in zip(x.cells, found):
+            seen.append(_summed(cells, np.stack([n, np.zeros_like(n)], 1), x.step >> 16 & 1))
+        lo += len(part)
+    empty = (np.zeros(0, np.int64), np.zeros((0, 2), np.int64))
+    return [_summed(*(np.concatenate(c) for c in zip(*seen))) if seen else empty for seen in found]
+
+
+def _summed(cells: np.ndarray, counts: np.ndarray, bit: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct cells in order and the sums of their counts; the two change sides where bit is one."""
+    kinds, at = np.unique(cells, return_inverse=True)
+    total = np.bincount((at * 2 + bit), weights=counts[:, 0], minlength=2 * len(kinds)) + np.bincount(at * 2 + 1 - bit, weights=counts[:, 1], minlength=2 * len(kinds))
+    return kinds, total.astype(np.int64).reshape(-1, 2)
+
+
+def fit(pairs: np.ndarray) -> tuple[Code, np.ndarray]:
+    """The code, and the first predictor's stretched counts by node, from how often each symbol
+    follows each byte."""
     code = build_code(pairs)
     nodes = np.zeros((256 * 256, 2), np.int64)
     for k in np.flatnonzero(pairs).tolist():
         way = slice(code.at[k], code.at[k] + code.length[k])
         nodes[code.node[way], code.bit[way]] += pairs[k]
-    slots = _slot_counts(docs, code)
-    return Model(code, _stretch(nodes[:, 0], nodes[:, 1]), [_stretch(s[:, 0], s[:, 1]) for s in slots])
+    return code, _stretch(nodes[:, 0], nodes[:, 1])
+
+
+def _known(kinds: np.ndarray, values: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """The values of cells, 0 where they are not among the sorted kinds."""
+    if not len(kinds):
+        return np.zeros(len(cells), np.float32)
+    at = np.minimum(np.searchsorted(kinds, cells), len(kinds) - 1)
+    return np.where(kinds[at] == cells, values[at], np.float32(0))
 
 
 def log10_probability(model: Model, texts: list[str | None]) -> np.ndarray:
@@ -201,6 +204,8 @@ def log10_probability(model: Model, texts: list[str | None]) -> np.ndarray:
     bounded memory.
     """
     starts, key, context = _symbols(texts)
+    x = _layout(model.code, key, context)
+    inputs = [model.first[x.step & 0xFFFF], *[_known(k, v, c) for k, v, c in zip(model.cells, model.hashed, x.cells)]]
     sizes = np.diff(starts)
     per = -(-sizes // SEGMENT)
     owner = np.repeat(np.arange(len(texts)), per)
@@ -212,8 +217,12 @@ def log10_probability(model: Model, texts: list[str | None]) -> np.ndarray:
     for lo in range(0, len(owner), lot):
         part = slice(lo, lo + lot)
         a, b = int(begin[part][0]), int(end[part][-1])
-        step, mixed, first = _bits(model.code, key[a:b], context[a:b])
-        cost[part] = _mix(model, step, mixed, first[begin[part] - a], first[end[part] - a])
+        place = x.place[a:b]
+        length = x.first[place + 1] - x.first[place]
+        first = np.concatenate([[0], np.cumsum(length)])
+        way = np.repeat((x.first[place] - first[:-1]).astype(np.int32), length)
+        way += np.arange(len(way), dtype=np.int32)
+        cost[part] = _mix(inputs, x.step, way, first[begin[part] - a], first[end[part] - a])
     return -np.bincount(owner, weights=cost, minlength=len(texts)) / math.log(10)
 
 
@@ -221,9 +230,10 @@ def _take(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.take(values, at, mode="clip")
 
 
-def _mix(model: Model, step: np.ndarray, mixed: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Cost in nats of each segment, the bits first .. last. Segments of like length go together,
-    their bits laid out so that every step reads one piece of memory."""
+def _mix(values: list[np.ndarray], step: np.ndarray, way: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Cost in nats of each segment, the bits first .. last of way, which has the place of each in
+    step and in each predictor's values. Segments of like length go together, their bits laid out
+    so that every step reads one piece of memory."""
     size = last - first
     order = np.argsort(-size, kind="stable")
     out = np.zeros(len(order))
@@ -233,10 +243,9 @@ def _mix(model: Model, step: np.ndarray, mixed: np.ndarray, first: np.ndarray, l
         rows = -(-int(n[0]) // STEP) * STEP
         t = np.arange(rows, dtype=np.int32)[:, None]
         at = np.minimum(first[group].astype(np.int32) + t, (last[group] - 1).astype(np.int32))
+        at = _take(way, at)
         s = _take(step, at)
-        node = s & 0xFFFF
-        seen = _take(mixed, at).view(np.uint32)
-        inputs = [_take(model.first, node), *[_take(table, _slot(seen[:, i :: len(ORDERS)], node)) for i, table in enumerate(model.hashed)]]
+        inputs = [_take(v, at) for v in values]
         sign = ((s >> 15 & 2) - 1).astype(np.float32)
         later = (s >> 17).astype(np.float32)
         keep = (t < n.astype(np.int32)).astype(np.float32)
@@ -304,7 +313,9 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hel
     text all counts are zero and every bit is even.
 
     Words meet their counts by blocks of rows: a block sends each of its words once and gets back
-    only counts that other blocks have changed. A word is known by a 64-bit hash.
+    only counts that other blocks have changed. A word is known by a 64-bit hash. Contexts meet
+    their counts in the same way, and are known exactly; their number grows with the corpus, and no
+    table of all of them is held anywhere.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
     rows = rows.withColumn("block", F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS))
@@ -334,21 +345,49 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hel
     pairs = np.zeros(256 * SYMBOLS, np.int64)
     for r in counts.where(~word).groupBy("h").agg(F.max("c").alias("c")).collect():
         pairs[r["h"]] = r["c"]
-    model = docs.sparkSession.sparkContext.broadcast(fit(rows.where(~F.col("held_out")), pairs))
+    model = docs.sparkSession.sparkContext.broadcast(fit(pairs))
+
+    def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in _runs(batches):
+            for i, (cells, n) in enumerate(_context_counts(model.value[0], list(b["text"]), ~b["held_out"].to_numpy(bool))):
+                yield pd.DataFrame({"block": b["block"].iloc[0], "h": cells | i << _CELL_BITS, "n": n[:, 0], "n1": n[:, 1]})
+
+    by_cell = Window.partitionBy("h")
+    cells = (
+        rows.select("block", "text", "held_out").mapInPandas(contexts, "block long, h long, n long, n1 long")
+        .withColumns({"c": F.sum("n").over(by_cell), "c1": F.sum("n1").over(by_cell)})
+        .where((F.col("c") != F.col("n")) | (F.col("c1") != F.col("n1")))
+    )
+    changed = changed.withColumns({"n1": F.lit(0).cast("long"), "c1": F.lit(0).cast("long"), "word": F.lit(True)}).unionByName(cells.withColumn("word", F.lit(False)))
+
+    def fill(n: np.ndarray, kinds: np.ndarray, counts: pd.DataFrame, was: list[str], now: list[str]) -> np.ndarray:
+        """The counts n of a block's kinds, with those put in that other blocks have changed."""
+        c = n.copy()
+        at = np.searchsorted(kinds, counts["h"].to_numpy(np.int64))
+        if len(at) and (at.max() >= len(kinds) or (kinds[at] != counts["h"]).any() or (n[at] != counts[was].to_numpy(np.int64)).any()):
+            raise RuntimeError("the rows of a block have changed since they were counted")
+        c[at] = counts[now].to_numpy(np.int64)
+        return c
 
     def score(part: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
         if not len(part):
             return pd.DataFrame(columns=_RESULT)
         texts = [t if isinstance(t, str) else None for t in part["text"]]
-        kinds, n, place, owner = _local(texts, ~part["held_out"].to_numpy(bool))
-        c = n.copy()
-        at = np.searchsorted(kinds, counts["h"].to_numpy(np.int64))
-        if len(at) and (at.max() >= len(kinds) or (kinds[at] != counts["h"]).any() or (n[at] != counts["n"]).any()):
-            raise RuntimeError("the rows of a block have changed since its words were counted")
-        c[at] = counts["c"].to_numpy(np.int64)
+        train = ~part["held_out"].to_numpy(bool)
+        word = counts["word"].to_numpy(bool)
+        kinds, n, place, owner = _local(texts, train)
+        c = fill(n[:, None], kinds, counts[word], ["n"], ["c"])[:, 0]
+        code, first = model.value
+        counts = counts[~word]
+        order = counts["h"].to_numpy(np.int64) >> _CELL_BITS
+        known = []
+        for i, (cells, n) in enumerate(_context_counts(code, texts, train)):
+            n = fill(n, cells, counts[order == i].assign(h=lambda x: x["h"] & ((1 << _CELL_BITS) - 1)), ["n", "n1"], ["c", "c1"])
+            known.append((_stretch(n[:, 0], n[:, 1]), cells))
+        own = Model(code, first, *(list(x) for x in zip(*known)))
         logs = np.log10((c + 0.5) / (tokens + 0.5 * (distinct + 1)))
         lengths = np.bincount(owner, minlength=len(texts))
-        scores = [log10_probability(model.value, p) for p in by_size(texts)]
+        scores = [log10_probability(own, p) for p in by_size(texts, SLOTS)]
         return pd.DataFrame({
             "doc_id": part["doc_id"].array, "held_out": part["held_out"].array, "n_tokens": lengths,
             "n_known": np.bincount(owner, weights=(c > 0)[place], minlength=len(texts)).astype(np.int64), "train_tokens": tokens,

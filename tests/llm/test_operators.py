@@ -199,3 +199,14 @@ def test_language_model(spark):
     model = lm.Model(code, np.linspace(-1, 1, 65536).astype(np.float32), [np.zeros(lm.SLOTS, np.float32)] * 2)
     first = lm.log10_probability(model, [""])
     assert first[0] < 0 and abs(lm.log10_probability(model, ["ab", ""])[1] - first[0]) < 1e-6
+
+
+def test_language_model_tells_all_contexts_apart(spark):
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdefghijkl"), 6)) for _ in range(40)]
+    texts = ["." + " ".join(rng.choice(words, 200)) for _ in range(6)]
+    other = ["." + "".join(map(chr, rng.integers(65, 91, 40_000))) for _ in range(40)]
+    score = lambda rows: {r["doc_id"]: r["score"] for r in lm.score_texts(spark.createDataFrame([(i, t, False) for i, t in enumerate(rows)], "doc_id long, text string, held_out boolean")).collect()}
+    alone, among = score(texts), score(texts + other)
+    # the others share no context with the texts but those of the first symbols
+    assert all(abs(among[i] - alone[i]) < 0.01 * abs(alone[i]) + 4 for i in range(len(texts))), [(among[i], alone[i]) for i in range(len(texts))]
