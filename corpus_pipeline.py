@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from questlog.llm import langid, packing, secrets, simhash, winnow
+from questlog.llm import langid, packing, secrets, shingles, winnow
 from questlog.llm.common import crc_is, cut, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -24,12 +24,15 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group, the one with the smallest doc_id; one row of repeated rows.
+    """Keep one document of each group of texts that share 0.8 or more of their shingles of five
+    words, the one with the smallest doc_id; one row of repeated rows.
 
     Rows without a doc_id cannot be told apart and stay.
     """
-    kept = simhash.near_duplicates(docs.where(F.col("doc_id").isNotNull())).select(F.col("component_id").alias("doc_id")).distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull())).select(*COLUMNS)
+    known = docs.where(F.col("doc_id").isNotNull()).withColumn("copy", shingles.copy_key("text"))
+    least = known.groupBy("copy").agg(F.min("doc_id").alias("doc_id")).join(shingles.near_duplicate_groups(known), "copy")
+    kept = cut(least.groupBy("group").agg(F.min(F.struct("doc_id", "copy")).alias("kept")).select("kept.*"))
+    return known.join(kept, ["doc_id", "copy"], "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()), allowMissingColumns=True).select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,5 +72,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: Language identification and the covering join have no form in SQL.
+#: Language identification and the near-dedup's bands have no form in SQL.
 ORACLE_SQL = None

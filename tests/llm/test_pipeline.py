@@ -92,3 +92,27 @@ def test_empty_tables(spark, tmp_path):
     assert lm.score_texts(none.selectExpr("doc_id", "text", "false AS held_out")).count() == 0
     assert simhash.near_duplicates(none).count() == 0
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_near_dedup_joins_similar_texts(spark):
+    rng = np.random.default_rng(21)
+    word = lambda: "".join(rng.choice(PARTS["aa"], 4))
+    texts = []
+    for k in range(40):
+        base = [word() for _ in range(200)]
+        texts.append(base)
+        for edits in (1, 2, 3, 4, 5, 6):  # each edit in the midst changes five shingles
+            other = list(base)
+            for at in rng.choice(np.arange(5, 195, 10), edits, replace=False):
+                other[at] = word()
+            texts.append(other)
+    rows = [(i, " ".join(t), None, None, None) for i, t in enumerate(texts)]
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    group = {i: i for i in range(len(texts))}
+    while True:
+        new = {i: min(group[j] for j in range(len(texts)) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])) for i in group}
+        if new == group:
+            break
+        group = new
+    got = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), "")
+    assert {r["doc_id"] for r in got.collect()} == set(group.values())
