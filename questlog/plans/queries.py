@@ -450,6 +450,13 @@ def replay_jsonl(s, d):
     return r.select("partition_key", F.get_json_object("value", "$.event_timestamp").cast("long").alias("event_timestamp"))
 
 
+@query(_with("SELECT json_extract_string(j, '$.event_id') AS partition_key, CASE WHEN j IS NOT NULL THEN CAST(1700000000000 AS BIGINT) END AS event_timestamp FROM p"))
+def replay_jsonl_all(s, d):
+    """All raw records, malformed and repeated ones too."""
+    r = archive.replay_jsonl(raw_records(s, d).select(F.col("data").cast("string").alias("value")), 1_700_000_000_000)
+    return r.select("partition_key", F.get_json_object("value", "$.event_timestamp").cast("long").alias("event_timestamp"))
+
+
 _HOUR = "strftime(make_timestamp(arrival_ms * 1000), '%Y%m%d%H') AS hour"
 
 

@@ -29,7 +29,11 @@ def read_raw_stream(spark: SparkSession, source: str, start: str = "latest", max
 
 
 def replay_jsonl(lines: DataFrame, now_ms: Column | int) -> DataFrame:
-    """Events of JSON lines with event_timestamp set to now, keyed and spread by event_id."""
+    """Events of JSON lines with event_timestamp set to now, keyed and spread by event_id.
+
+    One row for each line: a repeated line is replayed each time, one that is no JSON object has a
+    null key and a null value.
+    """
     fields = F.from_json("value", "map<string,variant>")
     stamp = F.create_map(F.lit("event_timestamp"), F.lit(now_ms).cast("bigint").cast("variant"))
     event = F.to_json(F.map_concat(F.map_filter(fields, lambda k, _: k != "event_timestamp"), stamp))

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from questlog.config import Limits
 from questlog.functions.text import hex_decode, hex_encode
 from questlog.operators import batching, load, parse
+from questlog.plans import queries
 from questlog.schemas import WIDTHS
 
 GOOD = {"app_name": "SampleGame", "app_version": "1.0.0", "event_version": "1.0", "event_id": "e1", "event_type": "test_event", "event_timestamp": 1508872163135, "client_id": "c1", "level_id": "level_1", "position_x": 556, "position_y": 521}
@@ -87,3 +89,12 @@ def test_flush_limits(spark):
     assert by(flush_records=7) == [7, 7, 6]
     assert by(flush_bytes=35) == [4, 4, 4, 4, 4]
     assert by(flush_ms=4000) == [5, 5, 5, 5]
+
+
+def test_replay_of_malformed_and_repeated_lines(spark, tmp_path):
+    ids = [1, 2, 47, 53, 97, 47 * 53]
+    at = dt.datetime(2024, 1, 5)
+    spark.createDataFrame([(i, at, 7, "login") for i in ids], "event_id long, ts timestamp, user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    got = Counter(tuple(r) for r in queries.QUERIES["replay_jsonl_all"](spark, str(tmp_path)).collect())
+    now = 1_700_000_000_000
+    assert got == {("e-1", now): 1, ("e-2", now): 1, ("e-47", now): 2, ("e-53", now): 2, (f"e-{47 * 53}", now): 3, (None, None): 1}
