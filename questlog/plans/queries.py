@@ -126,6 +126,11 @@ def hex_encode_text(s, d):
     return _table(s, d, "documents").where("n_chars < 2000").select("doc_id", hex_encode(F.col("text").cast("binary")).alias("hex"))
 
 
+@query("SELECT doc_id, coalesce(lower(hex(encode(text))), '') AS hex FROM documents")
+def hex_encode_whole_text(s, d):
+    return _table(s, d, "documents").select("doc_id", hex_encode(F.col("text").cast("binary")).alias("hex"))
+
+
 @query("SELECT event_id, lower(hex(unhex(CAST(event_id AS VARCHAR) || CASE WHEN length(CAST(event_id AS VARCHAR)) % 2 = 1 THEN '0' ELSE '' END))) AS hex FROM events")
 def hex_decode_text(s, d):
     return _table(s, d, "events").select("event_id", F.lower(F.hex(hex_decode(F.col("event_id").cast("string")))).alias("hex"))

@@ -98,3 +98,10 @@ def test_replay_of_malformed_and_repeated_lines(spark, tmp_path):
     got = Counter(tuple(r) for r in queries.QUERIES["replay_jsonl_all"](spark, str(tmp_path)).collect())
     now = 1_700_000_000_000
     assert got == {("e-1", now): 1, ("e-2", now): 1, ("e-47", now): 2, ("e-53", now): 2, (f"e-{47 * 53}", now): 3, (None, None): 1}
+
+
+def test_hex_of_every_document(spark, tmp_path):
+    rows = [(1, "kurz", 4), (2, "länger " * 1000, 7000), (3, "no count", None), (4, "", 0), (5, None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["hex"] for r in queries.QUERIES["hex_encode_whole_text"](spark, str(tmp_path)).collect()}
+    assert got == {i: (t or "").encode().hex() for i, t, _ in rows}
