@@ -251,6 +251,11 @@ def blank_as_null(s, d):
     return _table(s, d, "documents").select("doc_id", load.blank_as_null(F.substring("text", 1, 1)).isNotNull().alias("filled"))
 
 
+@query("SELECT doc_id, coalesce(trim(text) <> '', false) AS filled FROM documents")
+def blank_as_null_whole_text(s, d):
+    return _table(s, d, "documents").select("doc_id", load.blank_as_null(F.col("text")).isNotNull().alias("filled"))
+
+
 @query(f"SELECT event_id, {_MS} AS ms, CAST(day(ts) AS INT) AS day, CAST(hour(ts) AS INT) AS hour FROM events")
 def epoch_ms_to_ts(s, d):
     t = F.timestamp_millis(F.unix_millis(F.col("ts").cast("timestamp")))

@@ -105,3 +105,10 @@ def test_hex_of_every_document(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r["doc_id"]: r["hex"] for r in queries.QUERIES["hex_encode_whole_text"](spark, str(tmp_path)).collect()}
     assert got == {i: (t or "").encode().hex() for i, t, _ in rows}
+
+
+def test_blank_looks_at_the_whole_text(spark, tmp_path):
+    rows = [(1, " text after a space"), (2, "text"), (3, "   "), (4, ""), (5, None), (6, " " * 5000 + "x")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["filled"] for r in queries.QUERIES["blank_as_null_whole_text"](spark, str(tmp_path)).collect()}
+    assert got == {i: bool((t or "").strip(" ")) for i, t in rows}
