@@ -32,14 +32,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     known = docs.where(F.col("doc_id").isNotNull()).withColumn("copy", shingles.copy_key("text"))
     least = known.groupBy("copy").agg(F.min("doc_id").alias("doc_id")).join(shingles.near_duplicate_groups(known), "copy")
     kept = cut(least.groupBy("group").agg(F.min(F.struct("doc_id", "copy")).alias("kept")).select("kept.*"))
-    return known.join(kept, ["doc_id", "copy"], "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()), allowMissingColumns=True).select(*COLUMNS)
+    return known.join(kept, ["doc_id", "copy"], "left_semi").dropDuplicates(["doc_id", "copy"]).unionByName(docs.where(F.col("doc_id").isNull()), allowMissingColumns=True).select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a window of a benchmark item."""
-    rows, hits, _ = winnow.contamination(docs, table(spark, sf_dir, "benchmark"))
-    bad = rows.join(hits.select("row_id").distinct(), "row_id").select("doc_id").distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti").select(*COLUMNS)
+    """Drop documents that hold a window of a benchmark item; others of the same or no doc_id stay."""
+    text = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))
+    keyed = docs.withColumn("row", F.concat(F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("")), F.lit("/"), text))
+    rows, hits, _ = winnow.contamination(keyed, table(spark, sf_dir, "benchmark"), doc_id="row")
+    bad = rows.join(hits.select("row_id").distinct(), "row_id").select(F.col("doc_id").alias("row")).distinct()
+    return keyed.join(bad, "row", "left_anti").select(*COLUMNS)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

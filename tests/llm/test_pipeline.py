@@ -116,3 +116,16 @@ def test_near_dedup_joins_similar_texts(spark):
         group = new
     got = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), "")
     assert {r["doc_id"] for r in got.collect()} == set(group.values())
+
+
+def test_rows_of_one_or_no_id_go_alone(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    make = lambda n: " ".join("".join(rng.choice(PARTS["aa"], 4)) for _ in range(n))
+    item = make(20)
+    clean = [make(50) for _ in range(4)]
+    texts = [(None, clean[0]), (None, f"{make(10)} {item}"), (1, clean[1]), (1, f"{make(10)} {item} {make(30)}"), (2, clean[2]), (2, clean[3]), (2, clean[3])]
+    folder = write(spark, tmp_path, [(i, t, None, None, None) for i, t in texts], [(1, item)])
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = lambda stage: sorted(r["text"] for r in stage(spark, docs, folder).collect())
+    assert kept(corpus_pipeline.drop_contaminated) == sorted([*clean, clean[3]])
+    assert kept(corpus_pipeline.drop_near_duplicates) == sorted({t for _, t in texts})
