@@ -18,7 +18,7 @@ CLASSES = {
     "entropy_hex": (r"[0-9a-fA-F]{24,}", "0123456789abcdefABCDEF", 3.0),
     "entropy_base64": (r"[A-Za-z0-9+/_-]{24,}", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 4.0),
 }
-#: Candidates that hold one of these are no secrets: placeholders, plain sequences, UUIDs, words without digits.
+#: No secrets: parts of candidates that match one of the first five (placeholders, plain sequences), candidates that are one of the others (UUIDs, words without digits).
 ALLOWED = (r"(?i)example", r"(?i)x{6,}", r"0123456789", r"(?i)abcdefgh", r"(.)\1{7,}", r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$", r"^[^0-9]*$", r"^[^A-Za-z]*$")
 
 _SPANS = "array<struct<start:int,kind:int,end:int,match:string>>"
@@ -80,12 +80,22 @@ def _windows(span: Column, kind: int, alphabet: str, least: float) -> Column:
     return F.aggregate(F.filter(entering, lambda x: x["a"].isNotNull()), begin, lambda acc, x: note(step(acc, x)), lambda acc: acc["out"])
 
 
+def _pieces(span: Column, kind: int) -> Column:
+    """What of a candidate lies between its parts on the allow-list, where it is WINDOW characters or longer."""
+    parts = "|".join(f"(?:{p})" for p in (ALLOWED[4], *ALLOWED[:4]))
+    hits = _found(span["match"], parts, kind)
+    starts = F.concat(F.array(F.lit(0)), F.transform(hits, lambda h: h["end"]))
+    ends = F.concat(F.transform(hits, lambda h: h["start"]), F.array(F.length(span["match"])))
+    piece = lambda a, b: F.struct((span["start"] + a).alias("start"), F.lit(kind).alias("kind"), (span["start"] + b).alias("end"), F.substring(span["match"], a + 1, b - a).alias("match"))
+    return F.filter(F.zip_with(starts, ends, piece), lambda x: F.length(x["match"]) >= WINDOW)
+
+
 def _entropy(text: Column, name: str) -> Column:
     pattern, alphabet, least = CLASSES[name]
     kind = KINDS.index(name)
-    allowed = lambda x: F.when(x["match"].rlike("|".join(f"(?:{p})" for p in ALLOWED[:4] + ALLOWED[5:])), True).otherwise(x["match"].rlike(ALLOWED[4]))
-    candidates = F.filter(_found(text, pattern, kind), lambda x: ~allowed(x))
-    return F.flatten(F.transform(candidates, lambda x: _windows(x, kind, alphabet, least)))
+    candidates = F.filter(_found(text, pattern, kind), lambda x: ~x["match"].rlike("|".join(f"(?:{p})" for p in ALLOWED[5:])))
+    pieces = F.flatten(F.transform(candidates, lambda x: _pieces(x, kind)))
+    return F.flatten(F.transform(pieces, lambda x: _windows(x, kind, alphabet, least)))
 
 
 def scan_secrets(docs: DataFrame, text: str = "text", name: str = "secrets") -> DataFrame:
@@ -94,8 +104,8 @@ def scan_secrets(docs: DataFrame, text: str = "text", name: str = "secrets") ->
     Places are code points of the whole text, ends exclusive. Base kinds: assignments of a value
     of 8 characters or more, access keys of 16 or more, runs of 32 or more hex digits. The method
     adds windows of WINDOW characters inside candidates of one character class whose Shannon
-    entropy reaches the class's bound, joined where they touch; candidates on the allow-list add
-    none. A null or empty text has no spans. Other columns pass through; name is replaced.
+    entropy reaches the class's bound, joined where they touch; windows that overlap a part on the
+    allow-list, and whole candidates without a digit or letter or of a UUID's form, add none. A null or empty text has no spans. Other columns pass through; name is replaced.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     value = F.lit(ASSIGN)

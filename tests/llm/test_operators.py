@@ -210,3 +210,13 @@ def test_language_model_tells_all_contexts_apart(spark):
     alone, among = score(texts), score(texts + other)
     # the others share no context with the texts but those of the first symbols
     assert all(abs(among[i] - alone[i]) < 0.01 * abs(alone[i]) + 4 for i in range(len(texts))), [(among[i], alone[i]) for i in range(len(texts))]
+
+
+def test_allow_list_covers_only_its_part(spark):
+    key = "q7Zr2Kx9Lm4Tv8Bn1Wc6Yd3Hf5Jg0Ps-"
+    texts = [f"https://h.io/example/{key}", key + "A" * 8 + key[::-1], "example" + key[:6]]
+    got = [r["secrets"] for r in secrets.scan_secrets(docs(spark, texts)).orderBy("doc_id").collect()]
+    assert got[0] and got[1] and not got[2]
+    for text, spans in zip(texts, got):
+        assert not any(re.search(r"example|A{8}", text[s["start"] : s["end"]]) for s in spans)
+    assert {s["start"] < len(key) for s in got[1]} == {True, False}
