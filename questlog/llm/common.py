@@ -30,11 +30,11 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
     """Write a frame as a table in the shared folder and read it back: a short lineage of known size."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/questlog-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -9,8 +9,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 from questlog.llm.common import by_size, cut
 from questlog.llm.winnow import Words
@@ -18,37 +23,38 @@ from questlog.llm.winnow import Words
 #: Bytes and one end of text.
 SYMBOLS = 257
 END = 256
-#: Preceding bytes that the context predictors see; the first predictor sees one.
-ORDERS = (2, 4)
+#: Preceding bytes that the counted predictors see; one more sees a single byte, the last one is the text's own.
+ORDERS = (3, 5)
+#: Bytes of text in a block: its words and contexts look their counts up together.
+BLOCK_BYTES = 32 << 20
 #: Characters whose symbols and contexts are laid out at once.
-SLOTS = 1 << 19
+PART = 1 << 22
 #: Bits of a preceding byte and symbol, of a node, and of a cell (the bytes before that, and a node).
-_KEY_BITS, _NODE_BITS, _CELL_BITS = 17, 16, 40
-#: Symbols after which the mixer starts anew, with the preceding bytes as context.
-SEGMENT = 512
-#: Segments mixed side by side, and bits of each between two steps of the weights.
-STREAMS = 512
-STEP = 8
-RATE = 0.02
-#: First weights of the predictors; the gate adds a second set from the second bit of a symbol on.
-START = (0.25, 0.4, 0.6)
-#: Rows of a block, which looks its words up together: log2.
-BLOCK_BITS = 10
+_KEY_BITS, _NODE_BITS = 17, 16
+_CELL_BITS = 8 * (max(ORDERS) - 1) + _NODE_BITS
+#: Bits of a piece of text, through which weights, counts of its own and the refinement are carried.
+SEGMENT = 4096
+#: Segments mixed side by side, and steps whose inputs are fetched at once.
+STREAMS = 6144
+STEPS = 32
+#: Learning rates of the weights, of a text's own contexts and of the refinement.
+RATE, OWN_RATE, FINE_RATE = 0.02, 0.8, 0.02
+#: First weights: of the longest context that has been seen, and of the others.
+FIRST, OTHER = 0.6, 0.2
+#: Log2 of the slots of a text's own hashed contexts; the largest log odds, which the refinement's curve covers by halves.
+OWN_BITS, CURVE = 10, 8
 _SPACE = np.ones(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = False
-#: Stands for the end of a text among the hashes of words.
-_END_HASH = np.int64(0)
-#: In place of a block: counts of a byte and the symbol after it travel with the words.
-_PAIRS = -1
+#: In place of a block: counts of a byte and the symbol after it, and of ends of texts, travel with the words.
+_PAIRS, _ENDS = -1, -2
 
 
 @dataclass(frozen=True)
 class Code:
     """A binary tree of symbols for each preceding byte; the way to each symbol, laid out flat.
 
-    The way of symbol s after byte p is at[p * SYMBOLS + s] .. + length: nodes (each with a number
-    of its own among all trees) and the bits taken there. packed holds all of a step: the node's
-    16 bits, the bit taken, and whether it is not the first."""
+    The way of symbol s after byte p is at[p * SYMBOLS + s] .. + length: packed holds, for each
+    step, the node's 16 bits (a number of its own among all trees) and the bit taken there."""
 
     at: np.ndarray
     length: np.ndarray
@@ -60,7 +66,7 @@ class Code:
 
     @property
     def bit(self) -> np.ndarray:
-        return self.packed >> 16 & 1
+        return self.packed >> 16
 
 
 def build_code(pairs: np.ndarray) -> Code:
@@ -88,29 +94,29 @@ def build_code(pairs: np.ndarray) -> Code:
             at[p * SYMBOLS + s], length[p * SYMBOLS + s] = len(nodes), len(way)
             nodes += [n for n, _ in reversed(way)]
             bits += [b for _, b in reversed(way)]
-    packed = np.array(nodes, np.int32) | np.array(bits, np.int32) << 16
-    later = np.ones(len(packed), bool)
-    later[at] = False
-    return Code(at.astype(np.int32), length.astype(np.int32), packed | later.astype(np.int32) << 17)
+    return Code(at.astype(np.int32), length.astype(np.int32), np.array(nodes, np.int32) | np.array(bits, np.int32) << 16)
 
 
 def _symbols(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where each text's symbols begin; for all symbols, one text after the other, the key of the
-    preceding byte and the symbol, and a number made of the three bytes before that."""
+    preceding byte and the symbol, and a number made of the bytes before that, nearest lowest."""
+    depth = max(ORDERS)
     raw = [(t or "").encode("utf-8", "replace") for t in texts]
     ends = np.cumsum(np.array([len(r) + 1 for r in raw], np.int64))
     starts = np.concatenate([[0], ends])
-    # four zeros in front; the end of a text counts as byte 0 for what follows
-    data = np.frombuffer(b"\0".join([b"\0\0\0", *raw, b""]), np.uint8)
+    # zeros in front; the end of a text counts as byte 0 for what follows
+    data = np.frombuffer(b"\0".join([bytes(depth - 1), *raw, b""]), np.uint8)
     n = int(starts[-1])
-    symbols = data[4 : 4 + n].astype(np.int32)
+    symbols = data[depth : depth + n].astype(np.int32)
     symbols[ends - 1] = END
-    back = [data[4 - k : 4 - k + n].astype(np.uint32) for k in range(1, 5)]
-    for k in range(1, 4):  # nothing of the text before is seen
-        for j in range(k + 1):
+    context = np.zeros(n, np.int64)
+    for k in range(2, depth + 1):
+        back = data[depth - k : depth - k + n].astype(np.int64)
+        for j in range(k):  # nothing of the text before is seen
             at = starts[:-1] + j
-            back[k][at[at < n]] = 0
-    return starts, back[0].astype(np.int32) * SYMBOLS + symbols, back[1] | back[2] << np.uint32(8) | back[3] << np.uint32(16)
+            back[at[at < n]] = 0
+        context |= back << (8 * (k - 2))
+    return starts, data[depth - 1 : depth - 1 + n].astype(np.int32) * SYMBOLS + symbols, context
 
 
 @dataclass(frozen=True)
@@ -118,7 +124,7 @@ class Layout:
     """The steps of the ways of a part's distinct symbols in context, one after the other.
 
     place: of each symbol of the part, its number among the distinct ones, whose steps are
-    first[place] .. first[place + 1]; step: each step as in Code; cells: for each context
+    first[place] .. first[place + 1]; step: each step as in Code; cells: for each counted
     predictor, each step's context and node in one number, exactly."""
 
     place: np.ndarray
@@ -128,11 +134,15 @@ class Layout:
 
 
 def _layout(code: Code, key: np.ndarray, context: np.ndarray) -> Layout:
-    kinds, place = np.unique(context.astype(np.int64) << _KEY_BITS | key, return_inverse=True)
+    place, kinds = pd.factorize(context << _KEY_BITS | key)
+    order = np.argsort(kinds)
+    back = np.empty(len(order), np.int32)
+    back[order] = np.arange(len(order), dtype=np.int32)
+    place, kinds = back.take(place, mode="clip"), kinds[order]
     key, seen = kinds & ((1 << _KEY_BITS) - 1), kinds >> _KEY_BITS
     length = code.length[key]
     first = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])
-    step = _take(code.packed, np.repeat(code.at[key] - first[:-1], length) + np.arange(first[-1]))
+    step = code.packed[np.repeat(code.at[key] - first[:-1], length) + np.arange(first[-1])]
     cells = [np.repeat((seen & ((1 << 8 * (order - 1)) - 1)) << _NODE_BITS, length) | (step & 0xFFFF) for order in ORDERS]
     return Layout(place, first, step, cells)
 
@@ -143,37 +153,39 @@ def _stretch(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
-    """hashed: for each context predictor, the stretched counts of the cells in cells, which are
-    sorted; a cell that is not there has been seen by no one and is even."""
+    """first: stretched counts by node; cells: for each counted predictor the sorted cells that are
+    known, and known their stretched counts. A cell that is not there is even."""
 
     code: Code
     first: np.ndarray
-    hashed: list[np.ndarray]
     cells: list[np.ndarray] = field(default_factory=lambda: [np.zeros(0, np.int64) for _ in ORDERS])
+    known: list[np.ndarray] = field(default_factory=lambda: [np.zeros(0, np.float32) for _ in ORDERS])
 
 
-def _context_counts(code: Code, texts: list[str | None], train: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each context predictor, the distinct cells of all texts in order, and the zeros and ones
-    of each in training texts."""
-    found: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in ORDERS]
+def _summed(cells: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct cells in order and the sums of their counts."""
+    at, kinds = pd.factorize(cells)
+    order = np.argsort(kinds)
+    sums = [np.bincount(at, weights=n, minlength=len(kinds)).astype(np.int64)[order] for n in (zeros, ones)]
+    return kinds[order], *sums
+
+
+def context_counts(code: Code, texts: list[str | None], train: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each counted predictor, the distinct cells of all texts in order, and how often a zero
+    and a one followed each in training texts."""
+    found: list[list[tuple]] = [[] for _ in ORDERS]
     lo = 0
-    for part in by_size(texts, SLOTS):
+    for part in by_size(texts, PART):
         starts, key, context = _symbols(part)
         x = _layout(code, key, context)
         learned = np.repeat(train[lo : lo + len(part)], np.diff(starts))
         n = np.repeat(np.bincount(x.place[learned], minlength=len(x.first) - 1), np.diff(x.first))
+        bit = x.step >> 16
         for cells, seen in zip(x.cells, found):
-            seen.append(_summed(cells, np.stack([n, np.zeros_like(n)], 1), x.step >> 16 & 1))
+            seen.append(_summed(cells, n * (1 - bit), n * bit))
         lo += len(part)
-    empty = (np.zeros(0, np.int64), np.zeros((0, 2), np.int64))
-    return [_summed(*(np.concatenate(c) for c in zip(*seen))) if seen else empty for seen in found]
-
-
-def _summed(cells: np.ndarray, counts: np.ndarray, bit: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct cells in order and the sums of their counts; the two change sides where bit is one."""
-    kinds, at = np.unique(cells, return_inverse=True)
-    total = np.bincount((at * 2 + bit), weights=counts[:, 0], minlength=2 * len(kinds)) + np.bincount(at * 2 + 1 - bit, weights=counts[:, 1], minlength=2 * len(kinds))
-    return kinds, total.astype(np.int64).reshape(-1, 2)
+    none = np.zeros(0, np.int64)
+    return [seen[0] if len(seen) == 1 else _summed(*(np.concatenate(c) for c in zip(*seen))) if seen else (none, none, none) for seen in found]
 
 
 def fit(pairs: np.ndarray) -> tuple[Code, np.ndarray]:
@@ -187,119 +199,174 @@ def fit(pairs: np.ndarray) -> tuple[Code, np.ndarray]:
     return code, _stretch(nodes[:, 0], nodes[:, 1])
 
 
-def _known(kinds: np.ndarray, values: np.ndarray, cells: np.ndarray) -> np.ndarray:
-    """The values of cells, 0 where they are not among the sorted kinds."""
-    if not len(kinds):
-        return np.zeros(len(cells), np.float32)
-    at = np.minimum(np.searchsorted(kinds, cells), len(kinds) - 1)
-    return np.where(kinds[at] == cells, values[at], np.float32(0))
+def _inputs(model: Model, x: Layout) -> np.ndarray:
+    """A record of 16 bytes for each step: three inputs, and in one number the bit taken, the gate
+    from the second bit on, and the slot of a text's own counts from the ninth on."""
+    out = np.zeros((len(x.step), 4), np.float32)
+    out[:, 0] = model.first[x.step & 0xFFFF]
+    gate = np.zeros(len(x.step), np.int32)
+    for i, (cells, kinds, known) in enumerate(zip(x.cells, model.cells, model.known)):
+        if len(kinds):
+            at = np.minimum(np.searchsorted(kinds, cells), len(kinds) - 1)
+            there = kinds[at] == cells
+            out[:, 1 + i] = np.where(there, known[at], np.float32(0))
+            gate[there] = i + 1
+    own = (x.cells[0].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - OWN_BITS)).astype(np.int32)
+    out.view(np.int32)[:, 3] = x.step >> 16 | gate << 1 | own << 8
+    return out.view(np.complex128).ravel()
 
 
 def log10_probability(model: Model, texts: list[str | None]) -> np.ndarray:
     """The log10 of each whole text's probability, its end included.
 
-    Predictors are mixed in the logistic domain by weights that a gate chooses; after every STEP
-    bits the weights move along the gradient of the coding cost. They start anew with each segment
-    of SEGMENT symbols, so segments of any texts run side by side and a text of any length takes
-    bounded memory.
+    Each symbol is coded by the bits of its way in the tree of the byte before, a third of the
+    steps that its eight plain bits would take. The predictors' log odds are added with weights that
+    a gate, the longest context with counts, chooses. After every bit the weights move along the
+    gradient of the coding cost, and so does a predictor of the text's own hashed contexts, which
+    starts empty; a curve over the mixed odds refines the outcome by what came of like ones. These
+    three start anew with every SEGMENT bits, with the preceding bytes as context, so segments of
+    any texts run side by side and a text of any length takes bounded memory. The two branches of a
+    node add up to one, and so do all texts.
     """
     starts, key, context = _symbols(texts)
     x = _layout(model.code, key, context)
-    inputs = [model.first[x.step & 0xFFFF], *[_known(k, v, c) for k, v, c in zip(model.cells, model.hashed, x.cells)]]
+    records = _inputs(model, x)
+    length = (x.first[1:] - x.first[:-1])[x.place]
+    first = np.concatenate([[0], np.cumsum(length)])
+    way = np.repeat((x.first[x.place] - first[:-1]).astype(np.int32), length)
+    way += np.arange(len(way), dtype=np.int32)
     sizes = np.diff(starts)
-    per = -(-sizes // SEGMENT)
-    owner = np.repeat(np.arange(len(texts)), per)
-    inner = np.arange(len(owner)) - np.repeat(np.cumsum(per) - per, per)
-    begin = starts[owner] + inner * SEGMENT
-    end = begin + np.minimum(SEGMENT, sizes[owner] - inner * SEGMENT)
-    cost = np.zeros(len(owner))
-    lot = 4 * STREAMS
-    for lo in range(0, len(owner), lot):
-        part = slice(lo, lo + lot)
-        a, b = int(begin[part][0]), int(end[part][-1])
-        place = x.place[a:b]
-        length = x.first[place + 1] - x.first[place]
-        first = np.concatenate([[0], np.cumsum(length)])
-        way = np.repeat((x.first[place] - first[:-1]).astype(np.int32), length)
-        way += np.arange(len(way), dtype=np.int32)
-        cost[part] = _mix(inputs, x.step, way, first[begin[part] - a], first[end[part] - a])
+    base = np.repeat(first[starts[:-1]], sizes)
+    piece = (first[:-1] - base) // SEGMENT
+    fresh = np.ones(len(piece), bool)
+    fresh[1:] = (piece[1:] != piece[:-1]) | (base[1:] != base[:-1])
+    begin = np.flatnonzero(fresh)
+    owner = np.searchsorted(starts, begin, side="right") - 1
+    begin = first[begin]
+    size = np.diff(np.concatenate([begin, first[-1:]]))
+    order = np.argsort(-size, kind="stable")
+    cost = np.zeros(len(order))
+    for lo in range(0, len(order), STREAMS):
+        group = order[lo : lo + STREAMS]
+        cost[group] = _mix(records, way, begin[group], size[group])
     return -np.bincount(owner, weights=cost, minlength=len(texts)) / math.log(10)
 
 
-def _take(values: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return np.take(values, at, mode="clip")
+def _mix(records: np.ndarray, way: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Cost in nats of segments, the longest first: steps way[first] .. + size of each."""
+    n, sets = len(size), len(ORDERS) + 1
+    lane = np.arange(n)
+    begin = np.full((sets, n, 4), OTHER, np.float32)
+    for i in range(sets):
+        begin[i, :, i] = FIRST
+    weights = begin.view(np.complex128).ravel()
+    mine = np.zeros(n << OWN_BITS, np.float32)
+    points = 4 * CURVE + 1
+    curve = np.tile((1 / (1 + np.exp(-(np.arange(points, dtype=np.float32) / 2 - CURVE)))).astype(np.float32), n)
+    start, own = lane * points, lane << OWN_BITS
+    one, half, top = np.float32(1), np.float32(0.5), np.float32(CURVE)
+    total = np.zeros(n)
+    active = np.searchsorted(-size, -np.arange(int(size[0])), side="left")
+    for r in range(0, int(size[0]), STEPS):
+        rows = min(STEPS, int(size[0]) - r)
+        k = int(active[r])
+        at = way.take(np.minimum(first[:k] + np.arange(r, r + rows)[:, None], len(way) - 1), mode="clip").astype(np.intp)
+        inputs = records.take(at, mode="clip").view(np.float32).reshape(rows, k, 4)
+        mark = inputs.view(np.int32)[:, :, 3].astype(np.intp)
+        y = (mark & 1).astype(np.float32)
+        chosen = (mark >> 1 & 127) * n + lane[:k]
+        slot = (mark >> 8) + own[:k]
+        said = np.ones((rows, k), np.float32)
+        for i in range(rows):
+            k = int(active[r + i])
+            x, yi, c, s = inputs[i, :k], y[i, :k], chosen[i, :k], slot[i, :k]
+            m = mine.take(s, mode="clip")
+            x[:, 3] = m
+            taken = weights.take(c, mode="clip")
+            w = taken.view(np.float32).reshape(k, 4)
+            z = x * w
+            d = z[:, 0] + z[:, 1]
+            d += z[:, 2]
+            d += z[:, 3]
+            np.minimum(np.maximum(d, -top, out=d), top, out=d)
+            p = one / (one + np.exp(-d))
+            d += top
+            d += d
+            d += half
+            low = d.astype(np.intp)
+            low += start[:k]
+            f = curve.take(low, mode="clip")
+            curve[low] = f + (yi - f) * np.float32(FINE_RATE)
+            f += p
+            f *= half
+            f -= one - yi
+            said[i, :k] = f
+            error = yi - p
+            mine[s] = m + error * np.float32(OWN_RATE)
+            error *= np.float32(RATE)
+            x *= error[:, None]
+            w += x
+            weights[c] = taken
+        total[: said.shape[1]] -= np.log(np.abs(said)).sum(axis=0, dtype=np.float64)
+    return total
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows as blocks of about BLOCK_BYTES of text, each one compressed value with a number of its own."""
+    number = TaskContext.get().partitionId() << 32
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def block() -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            for part in held:
+                out.write_batch(part)
+        return pa.RecordBatch.from_pydict({"block": pa.array([number], pa.int64()), "payload": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
 
+    for b in batches:
+        ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(b["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64))])
+        lo = 0
+        while lo < b.num_rows:
+            hi = min(b.num_rows, max(lo + 1, int(np.searchsorted(ends, ends[lo] + BLOCK_BYTES - size))))
+            held.append(b.slice(lo, hi - lo))
+            size += int(ends[hi] - ends[lo])
+            lo = hi
+            if size >= BLOCK_BYTES:
+                yield block()
+                held, size, number = [], 0, number + 1
+    if held:
+        yield block()
 
-def _mix(values: list[np.ndarray], step: np.ndarray, way: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Cost in nats of each segment, the bits first .. last of way, which has the place of each in
-    step and in each predictor's values. Segments of like length go together, their bits laid out
-    so that every step reads one piece of memory."""
-    size = last - first
-    order = np.argsort(-size, kind="stable")
-    out = np.zeros(len(order))
-    for lo in range(0, len(order), STREAMS):
-        group = order[lo : lo + STREAMS]
-        n, k = size[group], len(group)
-        rows = -(-int(n[0]) // STEP) * STEP
-        t = np.arange(rows, dtype=np.int32)[:, None]
-        at = np.minimum(first[group].astype(np.int32) + t, (last[group] - 1).astype(np.int32))
-        at = _take(way, at)
-        s = _take(step, at)
-        inputs = [_take(v, at) for v in values]
-        sign = ((s >> 15 & 2) - 1).astype(np.float32)
-        later = (s >> 17).astype(np.float32)
-        keep = (t < n.astype(np.int32)).astype(np.float32)
-        base = [np.full(k, w, np.float32) for w in START]
-        more = [np.zeros(k, np.float32) for _ in START]
-        total = np.zeros(k)
-        for r in range(0, rows, STEP):
-            x = [i[r : r + STEP] for i in inputs]
-            gate, sg = later[r : r + STEP], sign[r : r + STEP]
-            d, e = x[0] * base[0], x[0] * more[0]
-            for a, w, u in zip(x[1:], base[1:], more[1:]):
-                d += a * w
-                e += a * u
-            e *= gate
-            d += e
-            d *= sg
-            z = np.exp(-np.abs(d))
-            q = np.where(d >= 0, z, np.float32(1)) / (1 + z)  # probability of the other bit
-            v = keep[r : r + STEP]
-            total -= (np.log(np.maximum(1 - q, np.float32(1e-6))) * v).sum(axis=0)
-            g = q * sg * v * np.float32(RATE)
-            h = g * gate
-            for i, a in enumerate(x):
-                base[i] += np.einsum("ij,ij->j", g, a)
-                more[i] += np.einsum("ij,ij->j", h, a)
-        out[group] = total
-    return out
-
-
-def _local(texts: list[str | None], train: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes of tokens, how often each stands in training texts, and for every token of
-    every text its place among them and the text."""
-    hashes, owners, at = [], [], 0
-    for part in by_size(texts):
-        w = Words(part, _SPACE)
-        hashes += [w.hash.view(np.int64), np.full(len(part), _END_HASH)]
-        owners += [w.of + at, np.arange(len(part)) + at]
-        at += len(part)
-    owner = np.concatenate(owners) if owners else np.zeros(0, np.int64)
-    kinds, place = np.unique(np.concatenate(hashes), return_inverse=True) if hashes else (np.zeros(0, np.int64),) * 2
-    return kinds, np.bincount(place[train[owner]], minlength=len(kinds)), place, owner
 
+def _unpacked(payload: pa.Scalar) -> tuple[pa.Table, list[str | None], np.ndarray]:
+    """The rows of a block, their texts, and which of them are training texts."""
+    rows = pa.ipc.open_stream(payload.as_buffer()).read_all()
+    return rows, rows["text"].to_pylist(), ~rows["held_out"].to_numpy().astype(bool)
 
-def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows of one block at a time, though batches may cut a block."""
-    held: list[pd.DataFrame] = []
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for b in batches:
-        for block, part in b.groupby("block", sort=False):
-            if held and held[0]["block"].iloc[0] != block:
-                yield pd.concat(held)
-                held = []
-            held.append(part)
-    if held:
-        yield pd.concat(held)
+        for i in range(b.num_rows):
+            yield b["block"][i].as_py(), *_unpacked(b["payload"][i])
+
+
+def _words(texts: list[str | None], train: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes of words in order, how often each stands in training texts, and for every
+    word of every text its place among them and the text."""
+    hashes, owners, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    for part in by_size(texts):
+        w = Words(part, _SPACE)
+        hashes.append(w.hash.view(np.int64))
+        owners.append(w.of + at)
+        at += len(part)
+    owner = np.concatenate(owners)
+    place, kinds = pd.factorize(np.concatenate(hashes))
+    order = np.argsort(kinds)
+    back = np.empty(len(order), np.int64)
+    back[order] = np.arange(len(order))
+    place = back[place]
+    return kinds[order], np.bincount(place[train[owner]], minlength=len(kinds)), place, owner
 
 
 def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out: str = "held_out") -> DataFrame:
@@ -310,94 +377,95 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hel
     log10 of (count + 0.5) / (N + 0.5 (V + 1)). score is the mixing model's log10 probability of
     the text; divided by the number of bytes and log10(2) it gives bits per byte. Null texts count
     as empty, a null held_out as false; repeated rows count and are scored each. With no training
-    text all counts are zero and every bit is even.
+    text all counts are zero and every bit is even to begin with. An empty table gives no rows.
 
-    Words meet their counts by blocks of rows: a block sends each of its words once and gets back
-    only counts that other blocks have changed. A word is known by a 64-bit hash. Contexts meet
-    their counts in the same way, and are known exactly; their number grows with the corpus, and no
-    table of all of them is held anywhere.
+    The rows are written once as blocks of bounded size. A block sends each of its words once, and
+    each of its contexts, and gets back only the counts that other blocks have changed. So what is
+    counted grows with the corpus, and no table of all of it is held anywhere; a very common word
+    has one row a block. Contexts are known exactly, words by 64-bit hashes.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    rows = rows.withColumn("block", F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS))
+    blocks = cut(rows.mapInArrow(_pack, "block long, payload binary"), {"parquet.page.row.count.limit": "1"})
 
-    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = np.zeros(256 * SYMBOLS, np.int64)
-        for b in _runs(batches):
-            train = ~b["held_out"].to_numpy(bool)
-            kinds, n, _, _ = _local(list(b["text"]), train)
-            yield pd.DataFrame({"block": b["block"].iloc[0], "h": kinds, "n": n})
-            for part in by_size(b["text"][train]):
+        ends = 0
+
+        def counts(block: int, h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"block": np.full(len(h), block, np.int64), "h": h.astype(np.int64), "n": n.astype(np.int64)})
+
+        for block, _, texts, train in _blocks(batches):
+            yield counts(block, *_words(texts, train)[:2])
+            ends += int(train.sum())
+            for part in by_size([t for t, learned in zip(texts, train) if learned], PART):
                 pairs += np.bincount(_symbols(part)[1], minlength=len(pairs))
         k = np.flatnonzero(pairs)
-        yield pd.DataFrame({"block": _PAIRS, "h": k, "n": pairs[k]})
+        yield counts(_PAIRS, k, pairs[k])
+        yield counts(_ENDS, np.zeros(1), np.full(1, ends))
 
     seen = Observation()
-    word = F.col("block") != _PAIRS
+    word = F.col("block") >= 0
     by_word = Window.partitionBy("h", word)
     counted = (
-        rows.select("block", "text", "held_out").mapInPandas(gather, "block long, h long, n long")
+        blocks.mapInArrow(gather, "block long, h long, n long")
         .withColumns({"c": F.sum("n").over(by_word), "first": F.row_number().over(by_word.orderBy("block")) == 1})
-        .observe(seen, F.coalesce(F.sum(F.when(word, F.col("n"))), F.lit(0)).alias("tokens"), F.count_if(word & F.col("first") & (F.col("c") > 0)).alias("kinds"))
+        .observe(
+            seen, F.coalesce(F.sum(F.when(word | (F.col("block") == _ENDS), F.col("n"))), F.lit(0)).alias("tokens"),
+            F.coalesce(F.sum(F.when(F.col("block") == _ENDS, F.col("n"))), F.lit(0)).alias("ends"), F.count_if(word & F.col("first") & (F.col("c") > 0)).alias("kinds"),
+        )
     )
-    counts = cut(counted.where((F.col("c") != F.col("n")) | ~word).select("block", "h", "n", "c"))
-    changed = counts.where(word)
-    tokens, distinct = seen.get["tokens"], seen.get["kinds"]
+    counts = cut(counted.where(((F.col("c") != F.col("n")) & word) | (F.col("block") == _PAIRS)).select("block", "h", "n", "c"))
+    tokens, ends, distinct = seen.get["tokens"], seen.get["ends"], seen.get["kinds"]
+    distinct += ends > 0
     pairs = np.zeros(256 * SYMBOLS, np.int64)
-    for r in counts.where(~word).groupBy("h").agg(F.max("c").alias("c")).collect():
+    for r in counts.where(~word).groupBy("h").agg(F.sum("n").alias("c")).collect():
         pairs[r["h"]] = r["c"]
     model = docs.sparkSession.sparkContext.broadcast(fit(pairs))
 
-    def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in _runs(batches):
-            for i, (cells, n) in enumerate(_context_counts(model.value[0], list(b["text"]), ~b["held_out"].to_numpy(bool))):
-                yield pd.DataFrame({"block": b["block"].iloc[0], "h": cells | i << _CELL_BITS, "n": n[:, 0], "n1": n[:, 1]})
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, _, texts, train in _blocks(batches):
+            for i, (cells, zeros, ones) in enumerate(context_counts(model.value[0], texts, train)):
+                yield pa.RecordBatch.from_pydict({"block": np.full(len(cells), block, np.int64), "h": cells | i << _CELL_BITS, "n": zeros, "n1": ones})
 
     by_cell = Window.partitionBy("h")
     cells = (
-        rows.select("block", "text", "held_out").mapInPandas(contexts, "block long, h long, n long, n1 long")
+        blocks.mapInArrow(contexts, "block long, h long, n long, n1 long")
         .withColumns({"c": F.sum("n").over(by_cell), "c1": F.sum("n1").over(by_cell)})
         .where((F.col("c") != F.col("n")) | (F.col("c1") != F.col("n1")))
     )
-    changed = changed.withColumns({"n1": F.lit(0).cast("long"), "c1": F.lit(0).cast("long"), "word": F.lit(True)}).unionByName(cells.withColumn("word", F.lit(False)))
-
-    def fill(n: np.ndarray, kinds: np.ndarray, counts: pd.DataFrame, was: list[str], now: list[str]) -> np.ndarray:
-        """The counts n of a block's kinds, with those put in that other blocks have changed."""
-        c = n.copy()
-        at = np.searchsorted(kinds, counts["h"].to_numpy(np.int64))
-        if len(at) and (at.max() >= len(kinds) or (kinds[at] != counts["h"]).any() or (n[at] != counts[was].to_numpy(np.int64)).any()):
-            raise RuntimeError("the rows of a block have changed since they were counted")
-        c[at] = counts[now].to_numpy(np.int64)
-        return c
-
-    def score(part: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
-        if not len(part):
-            return pd.DataFrame(columns=_RESULT)
-        texts = [t if isinstance(t, str) else None for t in part["text"]]
-        train = ~part["held_out"].to_numpy(bool)
-        word = counts["word"].to_numpy(bool)
-        kinds, n, place, owner = _local(texts, train)
-        c = fill(n[:, None], kinds, counts[word], ["n"], ["c"])[:, 0]
+    none = F.lit(0).cast("long")
+    changed = counts.where(word).select("block", "h", "c", none.alias("c1"), F.lit(True).alias("word")).unionByName(cells.select("block", "h", "c", "c1", F.lit(False).alias("word")))
+
+    def score(rows: pa.Table, counts: pa.Table) -> pa.Table:
+        if not rows.num_rows:
+            return schema.empty_table()
+        own, texts, train = _unpacked(rows["payload"][0])
+        word = counts["word"].to_numpy().astype(bool)
+        h, c, c1 = (counts[k].to_numpy() for k in ("h", "c", "c1"))
+        kinds, n, place, owner = _words(texts, train)
+        n[np.searchsorted(kinds, h[word])] = c[word]
         code, first = model.value
-        counts = counts[~word]
-        order = counts["h"].to_numpy(np.int64) >> _CELL_BITS
+        order = np.where(word, -1, h >> _CELL_BITS)
         known = []
-        for i, (cells, n) in enumerate(_context_counts(code, texts, train)):
-            n = fill(n, cells, counts[order == i].assign(h=lambda x: x["h"] & ((1 << _CELL_BITS) - 1)), ["n", "n1"], ["c", "c1"])
-            known.append((_stretch(n[:, 0], n[:, 1]), cells))
-        own = Model(code, first, *(list(x) for x in zip(*known)))
-        logs = np.log10((c + 0.5) / (tokens + 0.5 * (distinct + 1)))
+        for i, (cells, zeros, ones) in enumerate(context_counts(code, texts, train)):
+            at = np.searchsorted(cells, h[order == i] & ((1 << _CELL_BITS) - 1))
+            zeros[at], ones[at] = c[order == i], c1[order == i]
+            there = zeros + ones > 0
+            known.append((cells[there], _stretch(zeros[there], ones[there])))
+        found = Model(code, first, *(list(x) for x in zip(*known)))
+        whole = tokens + 0.5 * (distinct + 1)
+        logs = np.log10((n + 0.5) / whole)
         lengths = np.bincount(owner, minlength=len(texts))
-        scores = [log10_probability(own, p) for p in by_size(texts, SLOTS)]
-        return pd.DataFrame({
-            "doc_id": part["doc_id"].array, "held_out": part["held_out"].array, "n_tokens": lengths,
-            "n_known": np.bincount(owner, weights=(c > 0)[place], minlength=len(texts)).astype(np.int64), "train_tokens": tokens,
-            "base_score": np.bincount(owner, weights=logs[place], minlength=len(texts)), "score": np.concatenate(scores),
-        })
-
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.groupBy("block").cogroup(changed.groupBy("block")).applyInPandas(
-        score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    )
+        return pa.Table.from_arrays([
+            own["doc_id"], own["held_out"], pa.array(lengths + 1), pa.array(np.bincount(owner, weights=(n > 0)[place], minlength=len(texts)).astype(np.int64) + (ends > 0)),
+            pa.array(np.full(len(texts), tokens, np.int64)), pa.array(np.bincount(owner, weights=logs[place], minlength=len(texts)) + math.log10((ends + 0.5) / whole)),
+            pa.array(np.concatenate([log10_probability(found, p) for p in by_size(texts, PART)])),
+        ], names=_RESULT)
+
+    kind = rows.schema["doc_id"].dataType
+    schema = to_arrow_schema(StructType([StructField("doc_id", kind), *_NUMBERS]))
+    return blocks.groupBy("block").cogroup(changed.groupBy("block")).applyInArrow(score, StructType([StructField("doc_id", kind), *_NUMBERS]))
 
 
-_RESULT = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+_NUMBERS = [StructField("held_out", BooleanType()), *[StructField(n, LongType()) for n in ("n_tokens", "n_known", "train_tokens")], StructField("base_score", DoubleType()), StructField("score", DoubleType())]
+_RESULT = ["doc_id", *[f.name for f in _NUMBERS]]

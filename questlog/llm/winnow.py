@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +25,9 @@ _WORD[48:58] = _WORD[97:123] = True
 _WORD[128:] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _GAP = b" "
+#: Bytes of a word up to which a polynomial is its hash, and of a piece of a batch.
+LONG = 64
+_PIECE = 1 << 20
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -31,8 +36,15 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _inverse(base: int) -> int:
-    return pow(base, -1, 1 << 64)
+@functools.cache
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse."""
+    both = []
+    for base in (int(_BASE), pow(int(_BASE), -1, 1 << 64)):
+        out = np.ones(_PIECE + LONG + 1, np.uint64)
+        np.multiply.accumulate(np.full(_PIECE + LONG, base, np.uint64), out=out[1:])
+        both.append(out)
+    return both[0], both[1]
 
 
 class Words:
@@ -55,24 +67,24 @@ class Words:
         self.hash = self._hashes(low)
 
     def _hashes(self, low: np.ndarray) -> np.ndarray:
-        """A polynomial of each word's bytes, from running sums over pieces of the batch."""
-        out = np.zeros(len(self.start), np.uint64)
-        size = 1 << 20
-        longest = int((self.end - self.start).max(initial=0))
-        span = size + longest
-        up = np.ones(span + 1, np.uint64)
-        np.multiply.accumulate(np.full(span, _BASE, np.uint64), out=up[1:])
-        down = np.ones(span + 1, np.uint64)
-        np.multiply.accumulate(np.full(span, np.uint64(_inverse(int(_BASE))), np.uint64), out=down[1:])
-        for lo in range(0, len(low), size):
-            a, b = np.searchsorted(self.start, [lo, lo + size])
+        """A polynomial of each word's bytes, from running sums over pieces of the batch; of words
+        longer than LONG, whose polynomials can be made to meet, another hash."""
+        size = self.end - self.start
+        out = np.zeros(len(size), np.uint64)
+        up, down = _powers()
+        short = np.flatnonzero(size <= LONG)
+        for i in np.flatnonzero(size > LONG).tolist():
+            out[i] = xxhash.xxh64_intdigest(self.low[self.start[i] : self.end[i]], 1)
+        begin, end = self.start[short], self.end[short]
+        for lo in range(0, len(low), _PIECE):
+            a, b = np.searchsorted(begin, [lo, lo + _PIECE])
             if a == b:
                 continue
-            part = low[lo : int(self.end[b - 1])].astype(np.uint64) + np.uint64(1)
+            part = low[lo : int(end[b - 1])].astype(np.uint64) + np.uint64(1)
             run = np.zeros(len(part) + 1, np.uint64)
             np.cumsum(part * up[: len(part)], out=run[1:])
-            s, e = self.start[a:b] - lo, self.end[a:b] - lo
-            out[a:b] = _mix((run[e] - run[s]) * down[s])
+            s, e = begin[a:b] - lo, end[a:b] - lo
+            out[short[a:b]] = _mix((run[e] - run[s]) * down[s])
         return out
 
     def word(self, i: int) -> str:
