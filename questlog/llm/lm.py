@@ -24,9 +24,9 @@ from questlog.llm.winnow import Words
 SYMBOLS = 257
 END = 256
 #: Preceding bytes that the counted predictors see; one more sees a single byte, the last one is the text's own.
-ORDERS = (3, 5)
+ORDERS = (2, 4)
 #: Bytes of text in a block: its words and contexts look their counts up together.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 24 << 20
 #: Characters whose symbols and contexts are laid out at once.
 PART = 1 << 22
 #: Bits of a preceding byte and symbol, of a node, and of a cell (the bytes before that, and a node).
@@ -111,11 +111,12 @@ def _symbols(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     symbols[ends - 1] = END
     context = np.zeros(n, np.int64)
     for k in range(2, depth + 1):
-        back = data[depth - k : depth - k + n].astype(np.int64)
+        back = data[depth - k : depth - k + n].copy()
         for j in range(k):  # nothing of the text before is seen
             at = starts[:-1] + j
             back[at[at < n]] = 0
-        context |= back << (8 * (k - 2))
+        for lo in range(0, n, 1 << 18):
+            context[lo : lo + (1 << 18)] |= back[lo : lo + (1 << 18)].astype(np.int64) << (8 * (k - 2))
     return starts, data[depth - 1 : depth - 1 + n].astype(np.int32) * SYMBOLS + symbols, context
 
 
@@ -133,8 +134,14 @@ class Layout:
     cells: list[np.ndarray]
 
 
-def _layout(code: Code, key: np.ndarray, context: np.ndarray) -> Layout:
-    place, kinds = pd.factorize(context << _KEY_BITS | key)
+def _layout(code: Code, texts: list[str | None]) -> tuple[np.ndarray, Layout]:
+    """Where each text's symbols begin, and the layout of all of them."""
+    starts, key, context = _symbols(texts)
+    context <<= _KEY_BITS
+    context |= key
+    del key
+    place, kinds = pd.factorize(context)
+    del context
     order = np.argsort(kinds)
     back = np.empty(len(order), np.int32)
     back[order] = np.arange(len(order), dtype=np.int32)
@@ -144,7 +151,7 @@ def _layout(code: Code, key: np.ndarray, context: np.ndarray) -> Layout:
     first = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])
     step = code.packed[np.repeat(code.at[key] - first[:-1], length) + np.arange(first[-1])]
     cells = [np.repeat((seen & ((1 << 8 * (order - 1)) - 1)) << _NODE_BITS, length) | (step & 0xFFFF) for order in ORDERS]
-    return Layout(place, first, step, cells)
+    return starts, Layout(place, first, step, cells)
 
 
 def _stretch(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -176,8 +183,7 @@ def context_counts(code: Code, texts: list[str | None], train: np.ndarray) -> li
     found: list[list[tuple]] = [[] for _ in ORDERS]
     lo = 0
     for part in by_size(texts, PART):
-        starts, key, context = _symbols(part)
-        x = _layout(code, key, context)
+        starts, x = _layout(code, part)
         learned = np.repeat(train[lo : lo + len(part)], np.diff(starts))
         n = np.repeat(np.bincount(x.place[learned], minlength=len(x.first) - 1), np.diff(x.first))
         bit = x.step >> 16
@@ -228,22 +234,24 @@ def log10_probability(model: Model, texts: list[str | None]) -> np.ndarray:
     any texts run side by side and a text of any length takes bounded memory. The two branches of a
     node add up to one, and so do all texts.
     """
-    starts, key, context = _symbols(texts)
-    x = _layout(model.code, key, context)
+    starts, x = _layout(model.code, texts)
     records = _inputs(model, x)
-    length = (x.first[1:] - x.first[:-1])[x.place]
-    first = np.concatenate([[0], np.cumsum(length)])
-    way = np.repeat((x.first[x.place] - first[:-1]).astype(np.int32), length)
+    length = np.diff(x.first).astype(np.int32).take(x.place, mode="clip")
+    first = np.zeros(len(length) + 1, np.int32)
+    np.cumsum(length, out=first[1:])
+    way = np.repeat(x.first.astype(np.int32).take(x.place, mode="clip") - first[:-1], length)
+    del length, x
     way += np.arange(len(way), dtype=np.int32)
-    sizes = np.diff(starts)
-    base = np.repeat(first[starts[:-1]], sizes)
-    piece = (first[:-1] - base) // SEGMENT
+    base = np.repeat(first[starts[:-1]], np.diff(starts))
+    piece = (first[:-1] - base) // np.int32(SEGMENT)
     fresh = np.ones(len(piece), bool)
     fresh[1:] = (piece[1:] != piece[:-1]) | (base[1:] != base[:-1])
+    del base, piece
     begin = np.flatnonzero(fresh)
     owner = np.searchsorted(starts, begin, side="right") - 1
-    begin = first[begin]
+    begin = first[begin].astype(np.int64)
     size = np.diff(np.concatenate([begin, first[-1:]]))
+    del first
     order = np.argsort(-size, kind="stable")
     cost = np.zeros(len(order))
     for lo in range(0, len(order), STREAMS):
@@ -442,8 +450,11 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hel
         own, texts, train = _unpacked(rows["payload"][0])
         word = counts["word"].to_numpy().astype(bool)
         h, c, c1 = (counts[k].to_numpy() for k in ("h", "c", "c1"))
+        whole = tokens + 0.5 * (distinct + 1)
         kinds, n, place, owner = _words(texts, train)
         n[np.searchsorted(kinds, h[word])] = c[word]
+        lengths, n_known, base = (np.bincount(owner, weights=w, minlength=len(texts)) for w in (None, (n > 0)[place], np.log10((n + 0.5) / whole)[place]))
+        del kinds, n, place, owner
         code, first = model.value
         order = np.where(word, -1, h >> _CELL_BITS)
         known = []
@@ -453,12 +464,9 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hel
             there = zeros + ones > 0
             known.append((cells[there], _stretch(zeros[there], ones[there])))
         found = Model(code, first, *(list(x) for x in zip(*known)))
-        whole = tokens + 0.5 * (distinct + 1)
-        logs = np.log10((n + 0.5) / whole)
-        lengths = np.bincount(owner, minlength=len(texts))
         return pa.Table.from_arrays([
-            own["doc_id"], own["held_out"], pa.array(lengths + 1), pa.array(np.bincount(owner, weights=(n > 0)[place], minlength=len(texts)).astype(np.int64) + (ends > 0)),
-            pa.array(np.full(len(texts), tokens, np.int64)), pa.array(np.bincount(owner, weights=logs[place], minlength=len(texts)) + math.log10((ends + 0.5) / whole)),
+            own["doc_id"], own["held_out"], pa.array(lengths + 1), pa.array(n_known.astype(np.int64) + (ends > 0)),
+            pa.array(np.full(len(texts), tokens, np.int64)), pa.array(base + math.log10((ends + 0.5) / whole)),
             pa.array(np.concatenate([log10_probability(found, p) for p in by_size(texts, PART)])),
         ], names=_RESULT)
 
