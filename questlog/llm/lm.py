@@ -28,7 +28,7 @@ ORDERS = (2, 4)
 #: Bytes of text in a block: its words and contexts look their counts up together.
 BLOCK_BYTES = 24 << 20
 #: Characters whose symbols and contexts are laid out at once.
-PART = 1 << 22
+PART = 3 << 20
 #: Bits of a preceding byte and symbol, of a node, and of a cell (the bytes before that, and a node).
 _KEY_BITS, _NODE_BITS = 17, 16
 _CELL_BITS = 8 * (max(ORDERS) - 1) + _NODE_BITS
@@ -241,7 +241,8 @@ def log10_probability(model: Model, texts: list[str | None]) -> np.ndarray:
     np.cumsum(length, out=first[1:])
     way = np.repeat(x.first.astype(np.int32).take(x.place, mode="clip") - first[:-1], length)
     del length, x
-    way += np.arange(len(way), dtype=np.int32)
+    for lo in range(0, len(way), 1 << 20):
+        way[lo : lo + (1 << 20)] += np.arange(lo, min(len(way), lo + (1 << 20)), dtype=np.int32)
     base = np.repeat(first[starts[:-1]], np.diff(starts))
     piece = (first[:-1] - base) // np.int32(SEGMENT)
     fresh = np.ones(len(piece), bool)
@@ -348,9 +349,10 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _unpacked(payload: pa.Scalar) -> tuple[pa.Table, list[str | None], np.ndarray]:
-    """The rows of a block, their texts, and which of them are training texts."""
+    """The rows of a block without their texts, the texts, and which of them are training texts."""
     rows = pa.ipc.open_stream(payload.as_buffer()).read_all()
-    return rows, rows["text"].to_pylist(), ~rows["held_out"].to_numpy().astype(bool)
+    texts = rows["text"].to_pylist()
+    return rows.drop_columns(["text"]), texts, ~rows["held_out"].to_numpy().astype(bool)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -463,6 +465,8 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hel
             zeros[at], ones[at] = c[order == i], c1[order == i]
             there = zeros + ones > 0
             known.append((cells[there], _stretch(zeros[there], ones[there])))
+        del cells, zeros, ones, there, at
+        del h, c, c1, order, counts
         found = Model(code, first, *(list(x) for x in zip(*known)))
         return pa.Table.from_arrays([
             own["doc_id"], own["held_out"], pa.array(lengths + 1), pa.array(n_known.astype(np.int64) + (ends > 0)),
