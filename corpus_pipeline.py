@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from questlog.llm import langid, packing, secrets, shingles, winnow
+from questlog.llm import langid, packing, secrets, simhash, winnow
 from questlog.llm.common import crc_is, cut, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -29,8 +29,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows without a doc_id cannot be told apart and stay.
     """
-    known = docs.where(F.col("doc_id").isNotNull()).withColumn("copy", shingles.copy_key("text"))
-    least = known.groupBy("copy").agg(F.min("doc_id").alias("doc_id")).join(shingles.near_duplicate_groups(known), "copy")
+    known = docs.where(F.col("doc_id").isNotNull()).withColumn("copy", simhash.copy_key("text"))
+    least = known.groupBy("copy").agg(F.min("doc_id").alias("doc_id")).join(simhash.similar_groups(known), "copy")
     kept = cut(least.groupBy("group").agg(F.min(F.struct("doc_id", "copy")).alias("kept")).select("kept.*"))
     return known.join(kept, ["doc_id", "copy"], "left_semi").dropDuplicates(["doc_id", "copy"]).unionByName(docs.where(F.col("doc_id").isNull()), allowMissingColumns=True).select(*COLUMNS)
 
