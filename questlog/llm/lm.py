@@ -205,6 +205,14 @@ def fit(pairs: np.ndarray) -> tuple[Code, np.ndarray]:
     return code, _stretch(nodes[:, 0], nodes[:, 1])
 
 
+def _found(kinds: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The value of each wanted kind, 0 where it is not among the sorted kinds."""
+    if not len(kinds):
+        return np.zeros(len(wanted), values.dtype)
+    at = np.minimum(np.searchsorted(kinds, wanted), len(kinds) - 1)
+    return np.where(kinds[at] == wanted, values[at], values.dtype.type(0))
+
+
 def _inputs(model: Model, x: Layout) -> np.ndarray:
     """A record of 16 bytes for each step: three inputs, and in one number the bit taken, the gate
     from the second bit on, and the slot of a text's own counts from the ninth on."""
@@ -361,22 +369,30 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             yield b["block"][i].as_py(), *_unpacked(b["payload"][i])
 
 
-def _words(texts: list[str | None], train: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes of words in order, how often each stands in training texts, and for every
-    word of every text its place among them and the text."""
-    hashes, owners, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+def _word_counts(texts: list[str | None], train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of words of all texts, and how often each stands in training texts."""
+    hashes, counts, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
     for part in by_size(texts):
         w = Words(part, _SPACE)
-        hashes.append(w.hash.view(np.int64))
-        owners.append(w.of + at)
+        place, kinds = pd.factorize(w.hash.view(np.int64))
+        hashes.append(kinds)
+        counts.append(np.bincount(place[train[w.of + at]], minlength=len(kinds)))
         at += len(part)
-    owner = np.concatenate(owners)
     place, kinds = pd.factorize(np.concatenate(hashes))
-    order = np.argsort(kinds)
-    back = np.empty(len(order), np.int64)
-    back[order] = np.arange(len(order))
-    place = back[place]
-    return kinds[order], np.bincount(place[train[owner]], minlength=len(kinds)), place, owner
+    return kinds, np.bincount(place, weights=np.concatenate(counts), minlength=len(kinds)).astype(np.int64)
+
+
+def _word_scores(texts: list[str | None], kinds: np.ndarray, counts: np.ndarray, whole: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text: words, known words, and the sum of the words' log10 of (count + 0.5) / whole; kinds are sorted."""
+    out: list[list[np.ndarray]] = [[], [], []]
+    for part in by_size(texts):
+        w = Words(part, _SPACE)
+        place, own = pd.factorize(w.hash.view(np.int64))
+        n = _found(kinds, counts, own)
+        for values, weights in zip(out, (None, (n > 0)[place], np.log10((n + 0.5) / whole)[place])):
+            values.append(np.bincount(w.of, weights=weights, minlength=len(part)))
+    lengths, known, base = (np.concatenate(x) for x in out)
+    return lengths, known.astype(np.int64), base
 
 
 def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out: str = "held_out") -> DataFrame:
@@ -389,10 +405,10 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hel
     as empty, a null held_out as false; repeated rows count and are scored each. With no training
     text all counts are zero and every bit is even to begin with. An empty table gives no rows.
 
-    The rows are written once as blocks of bounded size. A block sends each of its words once, and
-    each of its contexts, and gets back only the counts that other blocks have changed. So what is
-    counted grows with the corpus, and no table of all of it is held anywhere; a very common word
-    has one row a block. Contexts are known exactly, words by 64-bit hashes.
+    The rows are written once as blocks of bounded size. A block sends each of its words and of its
+    contexts once, and gets back what all training texts have of them. So what is counted grows with
+    the corpus, and no table of all of it is held anywhere; a very common word has one row a block.
+    Contexts are known exactly, words by 64-bit hashes.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
     blocks = cut(rows.mapInArrow(_pack, "block long, payload binary"), {"parquet.page.row.count.limit": "1"})
@@ -405,7 +421,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hel
             return pa.RecordBatch.from_pydict({"block": np.full(len(h), block, np.int64), "h": h.astype(np.int64), "n": n.astype(np.int64)})
 
         for block, _, texts, train in _blocks(batches):
-            yield counts(block, *_words(texts, train)[:2])
+            yield counts(block, *_word_counts(texts, train))
             ends += int(train.sum())
             for part in by_size([t for t, learned in zip(texts, train) if learned], PART):
                 pairs += np.bincount(_symbols(part)[1], minlength=len(pairs))
@@ -424,7 +440,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hel
             F.coalesce(F.sum(F.when(F.col("block") == _ENDS, F.col("n"))), F.lit(0)).alias("ends"), F.count_if(word & F.col("first") & (F.col("c") > 0)).alias("kinds"),
         )
     )
-    counts = cut(counted.where(((F.col("c") != F.col("n")) & word) | (F.col("block") == _PAIRS)).select("block", "h", "n", "c"))
+    counts = cut(counted.where((word & (F.col("c") > 0)) | (F.col("block") == _PAIRS)).select("block", "h", "n", "c"))
     tokens, ends, distinct = seen.get["tokens"], seen.get["ends"], seen.get["kinds"]
     distinct += ends > 0
     pairs = np.zeros(256 * SYMBOLS, np.int64)
@@ -441,42 +457,35 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hel
     cells = (
         blocks.mapInArrow(contexts, "block long, h long, n long, n1 long")
         .withColumns({"c": F.sum("n").over(by_cell), "c1": F.sum("n1").over(by_cell)})
-        .where((F.col("c") != F.col("n")) | (F.col("c1") != F.col("n1")))
+        .where("c + c1 > 0")
     )
     none = F.lit(0).cast("long")
-    changed = counts.where(word).select("block", "h", "c", none.alias("c1"), F.lit(True).alias("word")).unionByName(cells.select("block", "h", "c", "c1", F.lit(False).alias("word")))
+    totals = counts.where(word).select("block", "h", "c", none.alias("c1"), F.lit(True).alias("word")).unionByName(cells.select("block", "h", "c", "c1", F.lit(False).alias("word")))
 
     def score(rows: pa.Table, counts: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return schema.empty_table()
-        own, texts, train = _unpacked(rows["payload"][0])
-        word = counts["word"].to_numpy().astype(bool)
-        h, c, c1 = (counts[k].to_numpy() for k in ("h", "c", "c1"))
-        whole = tokens + 0.5 * (distinct + 1)
-        kinds, n, place, owner = _words(texts, train)
-        n[np.searchsorted(kinds, h[word])] = c[word]
-        lengths, n_known, base = (np.bincount(owner, weights=w, minlength=len(texts)) for w in (None, (n > 0)[place], np.log10((n + 0.5) / whole)[place]))
-        del kinds, n, place, owner
+        own, texts, _ = _unpacked(rows["payload"][0])
+        h, c, c1, word = (counts[k].to_numpy() for k in ("h", "c", "c1", "word"))
+        group = np.where(word.astype(bool), -1, h >> _CELL_BITS)
+        order = np.lexsort((h, group))
+        h, c, c1 = h[order] & np.where(group[order] < 0, -1, (1 << _CELL_BITS) - 1), c[order], c1[order]
+        ends_of = np.searchsorted(group[order], np.arange(-1, len(ORDERS) + 1))
+        del counts, word, group, order
         code, first = model.value
-        order = np.where(word, -1, h >> _CELL_BITS)
-        known = []
-        for i, (cells, zeros, ones) in enumerate(context_counts(code, texts, train)):
-            at = np.searchsorted(cells, h[order == i] & ((1 << _CELL_BITS) - 1))
-            zeros[at], ones[at] = c[order == i], c1[order == i]
-            there = zeros + ones > 0
-            known.append((cells[there], _stretch(zeros[there], ones[there])))
-        del cells, zeros, ones, there, at
-        del h, c, c1, order, counts
-        found = Model(code, first, *(list(x) for x in zip(*known)))
+        found = Model(code, first, *([v[a:b] for a, b in zip(ends_of[1:], ends_of[2:])] for v in (h, _stretch(c, c1))))
+        whole = tokens + 0.5 * (distinct + 1)
+        lengths, n_known, base = _word_scores(texts, h[: ends_of[1]], c[: ends_of[1]], whole)
+        del c, c1
         return pa.Table.from_arrays([
-            own["doc_id"], own["held_out"], pa.array(lengths + 1), pa.array(n_known.astype(np.int64) + (ends > 0)),
+            own["doc_id"], own["held_out"], pa.array(lengths + 1), pa.array(n_known + (ends > 0)),
             pa.array(np.full(len(texts), tokens, np.int64)), pa.array(base + math.log10((ends + 0.5) / whole)),
             pa.array(np.concatenate([log10_probability(found, p) for p in by_size(texts, PART)])),
         ], names=_RESULT)
 
     kind = rows.schema["doc_id"].dataType
     schema = to_arrow_schema(StructType([StructField("doc_id", kind), *_NUMBERS]))
-    return blocks.groupBy("block").cogroup(changed.groupBy("block")).applyInArrow(score, StructType([StructField("doc_id", kind), *_NUMBERS]))
+    return blocks.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(score, StructType([StructField("doc_id", kind), *_NUMBERS]))
 
 
 _NUMBERS = [StructField("held_out", BooleanType()), *[StructField(n, LongType()) for n in ("n_tokens", "n_known", "train_tokens")], StructField("base_score", DoubleType()), StructField("score", DoubleType())]
