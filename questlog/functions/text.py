@@ -35,10 +35,5 @@ def parse_variants(raw: Column) -> Column:
     return F.from_json(raw, "map<string,variant>", JSON_OPTIONS)
 
 
-def is_json(raw: Column) -> Column:
-    """Whether the text starts with a JSON document."""
-    return parse_map(raw).isNotNull() | F.try_parse_json(raw).isNotNull()
-
-
 def is_container(value: Column) -> Column:
     return F.coalesce(F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)"), F.lit(False))

@@ -37,16 +37,41 @@ def union_months(tables: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, tables)
 
 
-def compact_month(spark: SparkSession, path: str, year: int, month: int, files: int = 1) -> str:
-    """Rewrite a month's files in the order of time and type. The rows are written aside; their
-    folder is returned for the caller to swap in, as Spark cannot overwrite what it reads."""
+def list_month_partitions(spark: SparkSession, path: str) -> DataFrame:
+    """Year, month, files and bytes of the month tables under a path, from the listing of their files alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
+    part = lambda name: F.regexp_extract("path", f"/{name}=([0-9]+)/", 1).cast("int").alias(name)
+    return files.select(part("year"), part("month"), "length").groupBy("year", "month").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+
+
+def roll_month_tables(spark: SparkSession, table: str, as_of: dt.date, months: int = 6) -> dict[str, list[tuple[int, int]]]:
+    """Drop the partitions of a catalogued table that are older than the window, and make next
+    month's. The partitions come from the catalogue; no row is read."""
+    there = {tuple(int(p.split("=")[1]) for p in r[0].split("/")) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    number = as_of.year * 12 + as_of.month - 1
+    old = sorted(x for x in there if x[0] * 12 + x[1] - 1 <= number - months)
+    new = [x for x in [((number + 1) // 12, (number + 1) % 12 + 1)] if x not in there]
+    for y, m in old:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (year = {y}, month = {m})")
+    for y, m in new:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (year = {y}, month = {m})")
+    return {"dropped": old, "made": new}
+
+
+def compact_month(spark: SparkSession, path: str, year: int, month: int, files: int | None = None, file_bytes: int = 256 << 20) -> str:
+    """Rewrite a month's files in the order of time and type, into files of about file_bytes unless
+    their number is given. The rows are written aside; their folder is returned for the caller to
+    swap in, as Spark cannot overwrite what it reads."""
     aside = f"{path}/_compacted-{uuid.uuid4().hex}"
+    if files is None:
+        size = list_month_partitions(spark, path).where((F.col("year") == year) & (F.col("month") == month)).first()
+        files = max(1, -(-size["bytes"] // file_bytes)) if size else 1
     rows = spark.read.parquet(path).where((F.col("year") == year) & (F.col("month") == month))
     rows.repartitionByRange(files, "event_timestamp", "event_type").sortWithinPartitions("event_timestamp", "event_type").write.partitionBy("year", "month").parquet(aside)
     return aside
 
 
-def compact_months(spark: SparkSession, path: str, months: list[tuple[int, int]], files: int = 1) -> dict[tuple[int, int], str]:
+def compact_months(spark: SparkSession, path: str, months: list[tuple[int, int]], files: int | None = None) -> dict[tuple[int, int], str]:
     """Compact month by month; one that fails does not stop the rest. Values: the folder, or the error."""
     done = {}
     for y, m in months:

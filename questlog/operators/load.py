@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,17 +10,25 @@ from pyspark.sql import functions as F
 from questlog.schemas import EVENT_COLUMNS, NOT_NULL, WIDTHS
 
 KEY = ["event_timestamp", "event_id"]
-_JSON = ", ".join(f"{c} {'bigint' if 'timestamp' in c else 'double' if 'position' in c else 'string'}" for c in EVENT_COLUMNS)
+#: What a column that is not text is cast to.
+_TYPES = {c: "bigint" if "timestamp" in c else "double" for c in EVENT_COLUMNS if c not in WIDTHS}
 
 
 def blank_as_null(column: Column) -> Column:
     return F.when(F.trim(column) != "", column)
 
 
-def project_event_row(lines: DataFrame, json: str = "value") -> DataFrame:
-    """JSON lines to the eleven columns: missing keys and blank strings are null, times are timestamps."""
-    parsed = lines.select(F.inline(F.array(F.from_json(json, _JSON))))
-    return parsed.select(*[(F.timestamp_millis(c) if "timestamp" in c else blank_as_null(F.col(c)) if c in WIDTHS else F.col(c)).alias(c) for c in EVENT_COLUMNS])
+def project_event_row(lines: DataFrame, json: str = "value", errors: bool = False) -> DataFrame:
+    """JSON lines to the eleven columns: missing keys and blank strings are null, times are timestamps.
+
+    A value that is no number where one belongs is null; with errors, type_errors names such
+    columns, and load_errors counts them in.
+    """
+    parsed = lines.select(F.inline(F.array(F.from_json(json, ", ".join(f"{c} string" for c in EVENT_COLUMNS)))))
+    number = lambda c: F.col(c).try_cast(_TYPES[c])
+    wrong = F.filter(F.array(*[F.when(F.col(c).isNotNull() & number(c).isNull(), F.lit(f"{c} is no {t}")) for c, t in _TYPES.items()]), lambda x: x.isNotNull())
+    columns = [(blank_as_null(F.col(c)) if c in WIDTHS else F.timestamp_millis(number(c)) if "timestamp" in c else number(c)).alias(c) for c in EVENT_COLUMNS]
+    return parsed.select(*columns, *([wrong.alias("type_errors")] if errors else []))
 
 
 def with_month(rows: DataFrame, column: str = "event_timestamp") -> DataFrame:
@@ -29,9 +36,10 @@ def with_month(rows: DataFrame, column: str = "event_timestamp") -> DataFrame:
 
 
 def load_errors(rows: DataFrame) -> Column:
-    """Names of the rules that a row breaks."""
+    """Names of the rules that a row breaks: types, missing values, widths."""
     rules = [*[F.when(F.col(c).isNull(), f"{c} is null") for c in NOT_NULL], *[F.when(F.length(c) > n, f"{c} is too long") for c, n in WIDTHS.items()]]
-    return F.filter(F.array(*rules), lambda x: x.isNotNull())
+    broken = F.filter(F.array(*rules), lambda x: x.isNotNull())
+    return F.concat("type_errors", broken) if "type_errors" in rows.columns else broken
 
 
 def split_load_errors(rows: DataFrame, on_error: str = "fail") -> tuple[DataFrame, DataFrame]:
@@ -39,7 +47,7 @@ def split_load_errors(rows: DataFrame, on_error: str = "fail") -> tuple[DataFram
     row fails the load when it is read; with "quarantine" wrong rows are only kept apart."""
     if on_error not in ("fail", "quarantine"):
         raise ValueError(on_error)
-    marked = rows.withColumn("errors", load_errors(rows))
+    marked = rows.withColumn("errors", load_errors(rows)).drop("type_errors")
     good = F.size("errors") == 0
     bad = marked.where(~good)
     if on_error == "fail":
@@ -51,11 +59,15 @@ def months_in_batch(rows: DataFrame) -> DataFrame:
     return with_month(rows).select("year", "month").distinct().orderBy("year", "month")
 
 
+def _window(as_of: dt.date, months: int) -> tuple[Column, Column]:
+    this = F.trunc(F.lit(as_of), "month")
+    return F.add_months(this, -months).cast("timestamp"), F.add_months(this, 1).cast("timestamp")
+
+
 def retention_filter(rows: DataFrame, as_of: dt.date, months: int = 6, column: str = "event_timestamp") -> DataFrame:
     """Rows whose month starts no earlier than the month so many months ago and no later than this one."""
-    first = F.add_months(F.trunc(F.lit(as_of), "month"), -months)
-    end = F.add_months(F.trunc(F.lit(as_of), "month"), 1)
-    return rows.where((F.col(column) >= first.cast("timestamp")) & (F.col(column) < end.cast("timestamp")))
+    first, end = _window(as_of, months)
+    return rows.where((F.col(column) >= first) & (F.col(column) < end))
 
 
 def month_slice(rows: DataFrame, year: int, month: int) -> DataFrame:
@@ -85,22 +97,51 @@ def strict_key_dedupe(rows: DataFrame, keys: list[str] = KEY, first: str = "serv
     return rows.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
 
 
-def dedupe_load(rows: DataFrame, existing: DataFrame, as_of: dt.date, months: int = 6) -> DataFrame:
+def prune_history(existing: DataFrame, as_of: dt.date, months: int = 6, batch_months: list[tuple[int, int]] | None = None) -> DataFrame:
+    """History cut to the retention window, and to the months of a batch where they are known. Of a
+    table partitioned by year and month no other month is listed or read."""
+    if not {"year", "month"} <= set(existing.columns):
+        return retention_filter(existing, as_of, months)
+    number = F.col("year") * 12 + F.col("month")
+    this = as_of.year * 12 + as_of.month
+    near = existing.where((number >= this - months) & (number <= this))
+    if batch_months is not None:
+        near = near.where(number.isin([y * 12 + m for y, m in batch_months]))
+    return retention_filter(near, as_of, months)
+
+
+def dedupe_load(rows: DataFrame, existing: DataFrame, as_of: dt.date, months: int = 6, on_error: str = "fail", batch_months: list[tuple[int, int]] | None = None) -> DataFrame:
     """What a load adds to the tables, for all its months at once; nothing when it is run again.
 
-    Retention comes first, so that times of zero never reach the shuffle. One layout by key
-    serves both the distinct rows and the join against history; history is cut to the same months.
+    Rows that break a rule of load_errors fail the load, or are left out with on_error="quarantine";
+    so no key is null. Retention comes before the shuffle, so that times of zero never reach it. One
+    layout by key serves both the distinct rows and the join against history, which is pruned.
     """
-    kept = retention_filter(rows, as_of, months)
-    spread = kept.repartition(*KEY)
-    fresh = anti_existing(distinct_rows(spread), retention_filter(existing, as_of, months))
+    good, _ = split_load_errors(rows, on_error)
+    spread = retention_filter(good, as_of, months).repartition(*KEY)
+    fresh = anti_existing(distinct_rows(spread), prune_history(existing, as_of, months, batch_months))
     return sorted_insert(with_month(fresh))
 
 
-def load_audit(rows: DataFrame, existing: DataFrame, as_of: dt.date, months: int = 6) -> DataFrame:
-    """Copied and inserted rows, duplicates ignored as the difference, and how that splits."""
-    copied = rows.agg(F.count("*").alias("copied"), F.count_if(F.size(load_errors(rows)) > 0).alias("load_errors"), F.countDistinct(F.trunc("event_timestamp", "month")).alias("months"))
-    kept = retention_filter(rows, as_of, months).agg(F.count("*").alias("kept"))
-    inserted = dedupe_load(rows, existing, as_of, months).agg(F.count("*").alias("inserted"))
-    one = reduce(lambda a, b: a.crossJoin(b), (copied, kept, inserted))  # one row each
-    return one.select("copied", "inserted", (F.col("copied") - F.col("inserted")).alias("duplicates_ignored"), (F.col("copied") - F.col("kept")).alias("out_of_retention"), (F.col("kept") - F.col("inserted")).alias("true_duplicates"), "load_errors", "months")
+def load_audit(rows: DataFrame, existing: DataFrame, as_of: dt.date, months: int = 6, files: int | None = None) -> DataFrame:
+    """Copied and inserted rows, duplicates ignored as the difference, and how that splits; the
+    number of files where it is given.
+
+    One pass: equal rows come together with their number, and each meets the keys of history once.
+    Rows that break a rule count as copied and as errors, and are not inserted.
+    """
+    columns = [c for c in rows.columns if c != "type_errors"]
+    first, end = _window(as_of, months)
+    t = F.col("event_timestamp")
+    marked = rows.select(*columns, (F.size(load_errors(rows)) > 0).alias("wrong"), F.coalesce((t >= first) & (t < end), F.lit(False)).alias("kept"))
+    each = marked.groupBy(*columns, "wrong", "kept").agg(F.count("*").alias("n"))
+    known = prune_history(existing, as_of, months).select(*KEY).distinct().withColumn("known", F.lit(True))
+    one = each.join(known, KEY, "left").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("copied"),
+        F.count_if(F.col("kept") & ~F.col("wrong") & F.col("known").isNull()).alias("inserted"),
+        F.coalesce(F.sum(F.when(F.col("kept"), F.col("n"))), F.lit(0)).alias("kept"),
+        F.coalesce(F.sum(F.when(F.col("wrong"), F.col("n"))), F.lit(0)).alias("load_errors"),
+        F.countDistinct(F.trunc("event_timestamp", "month")).alias("months"),
+    )
+    out = one.select("copied", "inserted", (F.col("copied") - F.col("inserted")).alias("duplicates_ignored"), (F.col("copied") - F.col("kept")).alias("out_of_retention"), (F.col("kept") - F.col("inserted")).alias("true_duplicates"), "load_errors", "months")
+    return out if files is None else out.withColumn("files", F.lit(files).cast("long"))

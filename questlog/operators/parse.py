@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from questlog.functions.text import decode_utf8, hex_encode, is_container, is_json, parse_map, parse_variants
+from questlog.functions.text import decode_utf8, hex_encode, is_container, parse_map, parse_variants
 from questlog.operators.once import once
 from questlog.schemas import CHARSET, CHECKED, POSITIONS, REQUIRED, STRICT_CHARSET, WIDTHS
 
@@ -24,10 +24,11 @@ def _text(key: str) -> Column:
     return F.when(is_container(F.element_at("variants", key)), "").otherwise(F.coalesce(value, F.lit("null")))
 
 
-def parse_json(raw: DataFrame) -> DataFrame:
-    """Decode and parse once: adds raw_json, fields (text by key) and variants (values by key)."""
+def parse_json(raw: DataFrame, kinds: bool = True) -> DataFrame:
+    """Decode and parse: adds raw_json, fields (text by key) and, where kinds are asked for,
+    variants (values by key). Texts keep numbers as they were written, values keep their kinds."""
     text = once(raw, {"raw_json": decode_utf8(F.col("data"))})
-    return once(text, {"fields": parse_map(F.col("raw_json")), "variants": parse_variants(F.col("raw_json"))})
+    return once(text, {"fields": parse_map(F.col("raw_json"))} | ({"variants": parse_variants(F.col("raw_json"))} if kinds else {}))
 
 
 def check_required(parsed: DataFrame) -> DataFrame:
@@ -70,7 +71,7 @@ def classify_events(raw: DataFrame, strict: bool = False) -> DataFrame:
     changed["event_timestamp"] = number.isNull() | (number < 0)
     changed |= {k: there(k) & doubles[k].isNull() for k in POSITIONS}
     values = once(parsed, {
-        "outcome": F.when(~is_json(F.col("raw_json")) | F.col("raw_json").isNull(), PARSE_ERROR).when(F.coalesce(broken, F.lit(True)), VALIDATION_ERROR).otherwise(OK),
+        "outcome": F.when(F.col("raw_json").isNull() | ~(F.col("fields").isNotNull() | F.try_parse_json("raw_json").isNotNull()), PARSE_ERROR).when(F.coalesce(broken, F.lit(True)), VALIDATION_ERROR).otherwise(OK),
         "event_timestamp": F.when(changed["event_timestamp"], F.lit(0).cast("bigint")).otherwise(number),
         **{k: F.coalesce(doubles[k], F.lit(0.0)) for k in POSITIONS},
         "server_timestamp": F.unix_millis("arrival_ts"),
@@ -84,7 +85,7 @@ def classify_events(raw: DataFrame, strict: bool = False) -> DataFrame:
         ),
         lambda x: x.isNotNull(),
     ))
-    kept = F.map_filter("variants", lambda k, _: ~F.array_contains(F.map_keys(fixed), k))
+    kept = F.map_filter("variants", lambda k, _: (k != "server_timestamp") & ~F.array_contains("sanitized_fields", k))
     return values.withColumns({
         "sanitized_fields": F.when(ok, F.col("sanitized_fields")).otherwise(F.array().cast("array<string>")),
         "processed_json": F.when(ok, F.concat(F.to_json(F.map_concat(kept, fixed)), F.lit("\n"))),
@@ -102,7 +103,7 @@ def error_records(bad: DataFrame) -> DataFrame:
     ok = F.col("outcome") == OK
     return bad.select(
         "shard_id", "sequence_number", "arrival_ts",
-        F.when(ok, "SanitizationException").when(F.col("outcome") == PARSE_ERROR, "TelemetryEventParseException").otherwise("ValidationException").alias("reason"),
+        F.when(ok, "SanitizationException").when(F.col("outcome") == PARSE_ERROR, "TelemetryEventParseException").otherwise("TelemetryEventValidationException").alias("reason"),
         F.nullif("raw_json", F.lit("")).alias("json"),
         F.when(ok, F.col("sanitized_fields")).alias("fields"),
         F.when(~ok, F.nullif(hex_encode(F.col("data")), F.lit(""))).alias("hex"),

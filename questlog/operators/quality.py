@@ -12,14 +12,14 @@ from questlog.schemas import CONTRACT_PATTERNS, CONTRACT_REQUIRED
 def audit_patterns(raw: DataFrame) -> DataFrame:
     """Per field, how many values that are there break the contract's pattern; one pass."""
     value = lambda k: F.element_at("fields", k)
-    one = parse_json(raw).agg(*[F.count_if(value(k).isNotNull() & ~value(k).rlike(p)).alias(k) for k, p in CONTRACT_PATTERNS.items()])
+    one = parse_json(raw, kinds=False).agg(*[F.count_if(value(k).isNotNull() & ~value(k).rlike(p)).alias(k) for k, p in CONTRACT_PATTERNS.items()])
     return one.unpivot([], list(CONTRACT_PATTERNS), "field", "broken")
 
 
 def audit_required(raw: DataFrame, variant: str = "current") -> DataFrame:
     """Per required field, how many JSON objects lack it."""
     keys = list(CONTRACT_REQUIRED[variant])
-    one = parse_json(raw).where("fields is not null").agg(*[F.count_if(~F.map_contains_key("fields", k)).alias(k) for k in keys])
+    one = parse_json(raw, kinds=False).where("fields is not null").agg(*[F.count_if(~F.map_contains_key("fields", k)).alias(k) for k in keys])
     return one.unpivot([], keys, "field", "missing")
 
 

@@ -34,7 +34,10 @@ WHERE copy = 0 OR (copy = 1 AND i % 53 = 0) OR (copy = 2 AND i % 47 = 0)
 
 
 def raw_records(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "event_type", "ts")
+    cores = spark.sparkContext.defaultParallelism
+    if events.rdd.getNumPartitions() < cores:  # a small file is one partition
+        events = events.repartition(cores)
     made = spark.sql(adapter_sql("{events}", "unix_millis(cast(ts AS timestamp))").replace("'{\"", "'{{\"").replace(":{\"a\":[1,2]}'", ":{{\"a\":[1,2]}}'").replace("|| '}'", "|| '}}'"), events=events)
     return made.where(where).select("shard_id", "sequence_number", "partition_key", F.timestamp_millis("arrival_ms").alias("arrival_ts"), F.col("data").cast("binary").alias("data"))
 

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
 import uuid
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from questlog.config import Limits
@@ -16,7 +15,7 @@ from questlog.functions.text import decode_utf8, hex_decode, hex_encode, parse_m
 from questlog.operators import batching, heatmap, lifecycle, load, metrics, parse, quality
 from questlog.plans.adapter import RAW_SQL, raw_records
 from questlog.schemas import CONTRACT_PATTERNS, CONTRACT_REQUIRED, EVENT_COLUMNS, REQUIRED, WIDTHS
-from questlog.session import prepare
+from questlog.session import prepare, shared_folder
 from questlog.sources import archive
 from questlog.streaming import jobs
 
@@ -42,11 +41,7 @@ def query(sql: str | None = None):
 
 def _work(spark: SparkSession) -> str:
     """A new folder for a query that writes, in the shared folder of the session."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-        base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/jobs-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/jobs-{uuid.uuid4().hex}"
 
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -121,13 +116,8 @@ def decode_utf8_text(s, d):
     return _table(s, d, "documents").select("doc_id", F.length(text).cast("long").alias("chars"), F.sha2(text, 256).alias("digest"))
 
 
-@query("SELECT doc_id, lower(hex(encode(text))) AS hex FROM documents WHERE n_chars < 2000")
-def hex_encode_text(s, d):
-    return _table(s, d, "documents").where("n_chars < 2000").select("doc_id", hex_encode(F.col("text").cast("binary")).alias("hex"))
-
-
 @query("SELECT doc_id, coalesce(lower(hex(encode(text))), '') AS hex FROM documents")
-def hex_encode_whole_text(s, d):
+def hex_encode_text(s, d):
     return _table(s, d, "documents").select("doc_id", hex_encode(F.col("text").cast("binary")).alias("hex"))
 
 
@@ -186,12 +176,12 @@ def enrich_server_timestamp(s, d):
     return _classified(s, d).where("outcome = 'ok'").select("sequence_number", "server_timestamp")
 
 
-@query(_with("SELECT event_id, server_timestamp, event_timestamp, position_x, app_name FROM e"))
+@query(_with("SELECT event_id, server_timestamp, event_timestamp, position_x, app_name, CAST(json_extract(j, '$.extra') AS VARCHAR) AS extra, len(json_keys(j)) + CASE WHEN num IS NULL AND NOT has_event_timestamp THEN 1 ELSE 0 END + 1 AS keys FROM (SELECT e.*, c.j, c.num, c.has_event_timestamp FROM e JOIN (SELECT DISTINCT i AS ci, arrival_ms AS ca, * FROM c) AS c ON e.i = c.ci AND e.server_timestamp = c.ca) AS x"))
 def processed_json(s, d):
-    """The archived line itself, read back key by key."""
+    """The archived line itself, read back key by key, unknown keys too."""
     c = _classified(s, d).where("outcome = 'ok'").select("processed_json")
-    read = F.from_json("processed_json", "event_id string, server_timestamp bigint, event_timestamp bigint, position_x double, app_name string")
-    return c.select(read.alias("r")).select("r.*")
+    read = F.from_json("processed_json", "event_id string, server_timestamp bigint, event_timestamp bigint, position_x double, app_name string, extra string")
+    return c.select(read.alias("r"), F.size(F.json_object_keys("processed_json")).cast("long").alias("keys")).select("r.*", "keys")
 
 
 @query(_with("SELECT 'good' AS branch, count(*) AS events FROM c WHERE outcome = 'ok' UNION ALL SELECT 'bad', count(*) FROM c WHERE outcome <> 'ok' OR sanitized <> ''"))
@@ -201,7 +191,7 @@ def split_good_bad(s, d):
     return count(good, "good").unionByName(count(bad, "bad"))
 
 
-_ERRORS = """SELECT sequence_number, arrival_ms, CASE outcome WHEN 'ok' THEN 'SanitizationException' WHEN 'parse_error' THEN 'TelemetryEventParseException' ELSE 'ValidationException' END AS reason,
+_ERRORS = """SELECT sequence_number, arrival_ms, CASE outcome WHEN 'ok' THEN 'SanitizationException' WHEN 'parse_error' THEN 'TelemetryEventParseException' ELSE 'TelemetryEventValidationException' END AS reason,
  nullif(data, '') AS json, CASE WHEN outcome = 'ok' THEN sanitized END AS fields, CASE WHEN outcome <> 'ok' THEN lower(hex(encode(data))) END AS hex FROM c WHERE outcome <> 'ok' OR sanitized <> ''"""
 
 
@@ -246,13 +236,8 @@ def project_event_row(s, d):
     return _flat(_rows(s, d))
 
 
-@query("SELECT doc_id, trim(left(text, 1)) <> '' AS filled FROM documents")
-def blank_as_null(s, d):
-    return _table(s, d, "documents").select("doc_id", load.blank_as_null(F.substring("text", 1, 1)).isNotNull().alias("filled"))
-
-
 @query("SELECT doc_id, coalesce(trim(text) <> '', false) AS filled FROM documents")
-def blank_as_null_whole_text(s, d):
+def blank_as_null(s, d):
     return _table(s, d, "documents").select("doc_id", load.blank_as_null(F.col("text")).isNotNull().alias("filled"))
 
 
@@ -262,13 +247,37 @@ def epoch_ms_to_ts(s, d):
     return _table(s, d, "events").select("event_id", F.unix_millis(t).alias("ms"), F.dayofmonth(t).alias("day"), F.hour(t).alias("hour"))
 
 
-@query(_with("SELECT 'event_id is null' AS error, count(*) AS events FROM rows_ WHERE event_id = 'e-4' GROUP BY 1 HAVING count(*) > 0"))
+_ROUGH = """rough AS (SELECT *, CASE WHEN i % 11 = 0 THEN 'position_x is no double' END AS e1, CASE WHEN i % 13 = 0 THEN 'event_timestamp is no bigint' END AS e2,
+ CASE WHEN i % 17 = 0 THEN 'event_id is null' END AS e3, CASE WHEN i % 13 = 0 THEN 'event_timestamp is null' END AS e4 FROM e)"""
+
+
+def _rough(s, d):
+    """Rows of archived lines of which some have been spoilt: positions and times that are no numbers, missing ids."""
+    lines = parse.split_good_bad(_classified(s, d))[0].select("processed_json", F.substring("partition_key", 3, 20).cast("long").alias("i"))
+    v = F.col("processed_json")
+    v = F.when(F.col("i") % 11 == 0, F.regexp_replace(F.regexp_replace(v, r'"position_x":[^,}]*,?', ""), r"^\{", '{"position_x":"asdf",')).otherwise(v)
+    v = F.when(F.col("i") % 13 == 0, F.regexp_replace(v, r'"event_timestamp":[0-9]+', '"event_timestamp":"1.5e"')).otherwise(v)
+    v = F.when(F.col("i") % 17 == 0, F.regexp_replace(v, r'"event_id":"[^"]*"', '"event_id":"  "')).otherwise(v)
+    return load.project_event_row(lines.select(v.alias("value")), errors=True)
+
+
+@query(f"WITH {BASE_SQL}, {_ROUGH} SELECT error, count(*) AS events FROM (SELECT unnest([e1, e2, e3, e4]) AS error FROM rough) AS x WHERE error IS NOT NULL GROUP BY 1")
 def load_errors(s, d):
-    rows = _rows(s, d).withColumn("event_id", F.when(F.col("event_id") != "e-4", F.col("event_id")))
-    _, bad = load.split_load_errors(rows, "quarantine")
+    _, bad = load.split_load_errors(_rough(s, d), "quarantine")
     return bad.select(F.explode("errors").alias("error")).groupBy("error").agg(F.count("*").alias("events"))
 
 
+@query(f"WITH {BASE_SQL}, {_ROUGH} SELECT count(*) AS inserted, CAST(0 AS BIGINT) AS inserted_again FROM (SELECT DISTINCT {_COLS} FROM rough WHERE coalesce(e1, e2, e3, e4) IS NULL AND event_timestamp >= epoch_ms(TIMESTAMP '2023-07-01') AND event_timestamp < epoch_ms(TIMESTAMP '2024-02-01')) AS x")
+def dedupe_load_twice(s, d):
+    """Spoilt rows are left out; the second load of the same lines inserts nothing."""
+    path, rows = _work(s), _rough(s, d)
+    empty = s.createDataFrame([], load.with_month(rows.drop("type_errors")).schema)
+    archive.write_month_tables(load.dedupe_load(rows, empty, AS_OF, on_error="quarantine"), path)
+    first = s.read.parquet(path)
+    again = load.dedupe_load(rows, first, AS_OF, on_error="quarantine")
+    return first.agg(F.count("*").alias("inserted")).crossJoin(F.broadcast(again.agg(F.count("*").alias("inserted_again"))))  # one row each
+
+
 @query("SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month FROM orders")
 def months_in_batch(s, d):
     return load.months_in_batch(_orders(s, d).select("event_timestamp"))
@@ -432,10 +441,19 @@ def flush_batches(s, d):
     return _flushed(s, d).select("shard_id", "sequence_number", F.unix_millis("arrival_ts").alias("arrival_ms"), "batch")
 
 
-@query()
+_CLOSED = "records >= 500 OR bytes >= 20000 OR arrival_ms - began >= 21600000"
+_CUTS = f"""n AS MATERIALIZED (SELECT shard_id, sequence_number, arrival_ms, strlen(data) AS size, row_number() OVER (PARTITION BY shard_id ORDER BY sequence_number, arrival_ms) AS k FROM raw),
+ w AS (SELECT shard_id, sequence_number, arrival_ms, size, k, CAST(0 AS BIGINT) AS batch, CAST(1 AS BIGINT) AS records, CAST(size AS BIGINT) AS bytes, arrival_ms AS began FROM n WHERE k = 1
+ UNION ALL SELECT n.shard_id, n.sequence_number, n.arrival_ms, n.size, n.k, w.batch + CASE WHEN {_CLOSED.replace('arrival_ms', 'w.arrival_ms')} THEN 1 ELSE 0 END,
+ CASE WHEN {_CLOSED.replace('arrival_ms', 'w.arrival_ms')} THEN 1 ELSE records + 1 END, CASE WHEN {_CLOSED.replace('arrival_ms', 'w.arrival_ms')} THEN n.size ELSE bytes + n.size END,
+ CASE WHEN {_CLOSED.replace('arrival_ms', 'w.arrival_ms')} THEN n.arrival_ms ELSE began END FROM w JOIN n ON n.shard_id = w.shard_id AND n.k = w.k + 1)"""
+
+
+@query(f"""WITH RECURSIVE raw AS ({RAW_SQL}), {_CUTS} SELECT shard_id, batch, min(sequence_number) AS first_sequence, max(sequence_number) AS last_sequence, arg_min(arrival_ms, k) AS first_arrival, count(*) AS records, CAST(sum(size) AS BIGINT) AS bytes FROM w GROUP BY 1, 2""")
 def flush_batches_by_bytes(s, d):
-    """Cuts by bytes and age as well; each depends on the one before, so SQL has no plain form."""
-    return batching.batch_summary(batching.flush_batches(raw_records(s, d), Limits(flush_records=500, flush_bytes=20_000, flush_ms=6 * 3600 * 1000)))
+    """Cuts by bytes and age as well; each depends on the one before."""
+    cut = batching.flush_batches(raw_records(s, d), Limits(flush_records=500, flush_bytes=20_000, flush_ms=6 * 3600 * 1000))
+    return batching.batch_summary(cut).withColumn("first_arrival", F.unix_millis("first_arrival"))
 
 
 _SUMMARY = "s AS (SELECT shard_id, batch, min(sequence_number) AS first_sequence, max(sequence_number) AS last_sequence, arg_min(arrival_ms, sequence_number || lpad(CAST(arrival_ms AS VARCHAR), 20, '0')) AS first_arrival, count(*) AS records, CAST(sum(strlen(data)) AS BIGINT) AS bytes FROM b GROUP BY 1, 2)"
@@ -453,15 +471,8 @@ def archive_key(s, d):
 
 # --- sources and sinks
 
-@query("SELECT 'e-' || event_id AS partition_key, CAST(1700000000000 AS BIGINT) AS event_timestamp FROM events WHERE event_id % 97 <> 0 AND event_id % 53 <> 0 AND event_id % 47 <> 0")
-def replay_jsonl(s, d):
-    lines = raw_records(s, d, "i % 97 <> 0 AND i % 53 <> 0 AND i % 47 <> 0").select(F.col("data").cast("string").alias("value"))
-    r = archive.replay_jsonl(lines, 1_700_000_000_000)
-    return r.select("partition_key", F.get_json_object("value", "$.event_timestamp").cast("long").alias("event_timestamp"))
-
-
 @query(_with("SELECT json_extract_string(j, '$.event_id') AS partition_key, CASE WHEN j IS NOT NULL THEN CAST(1700000000000 AS BIGINT) END AS event_timestamp FROM p"))
-def replay_jsonl_all(s, d):
+def replay_jsonl(s, d):
     """All raw records, malformed and repeated ones too."""
     r = archive.replay_jsonl(raw_records(s, d).select(F.col("data").cast("string").alias("value")), 1_700_000_000_000)
     return r.select("partition_key", F.get_json_object("value", "$.event_timestamp").cast("long").alias("event_timestamp"))
@@ -470,22 +481,25 @@ def replay_jsonl_all(s, d):
 _HOUR = "strftime(make_timestamp(arrival_ms * 1000), '%Y%m%d%H') AS hour"
 
 
-def _by_hour(lines: DataFrame) -> DataFrame:
-    return lines.groupBy(F.concat(F.col("year"), F.lpad(F.col("month").cast("string"), 2, "0"), F.lpad(F.col("day").cast("string"), 2, "0"), F.lpad(F.col("hour").cast("string"), 2, "0")).alias("hour")).agg(F.count("*").alias("events"))
+def _hour() -> Column:
+    return F.concat("year", *[F.lpad(F.col(c).cast("string"), 2, "0") for c in ("month", "day", "hour")])
 
 
-@query(_with(f"SELECT {_HOUR}, count(*) AS events FROM c WHERE outcome = 'ok' GROUP BY 1"))
+@query(_with(f"SELECT {_HOUR}, event_id, server_timestamp, event_timestamp, position_x FROM (SELECT *, server_timestamp AS arrival_ms FROM e) AS x"))
 def write_archive(s, d):
+    """The lines as they are read back from the folder of their hour."""
     path = _work(s)
     archive.write_archive(parse.split_good_bad(_classified(s, d))[0].select("arrival_ts", F.col("processed_json").alias("value")), path)
-    return _by_hour(s.read.text(path))
+    read = F.from_json("value", "event_id string, server_timestamp bigint, event_timestamp bigint, position_x double")
+    return s.read.text(path).select(_hour().alias("hour"), read.alias("r")).select("hour", "r.*")
 
 
-@query(_with(f"SELECT {_HOUR}, count(*) AS events FROM c WHERE outcome <> 'ok' OR sanitized <> '' GROUP BY 1"))
+@query(_with(f"SELECT {_HOUR}, reason, json, fields, hex FROM ({_ERRORS}) AS x"))
 def write_error_archive(s, d):
     path = _work(s)
     archive.write_archive(parse.error_lines(parse.error_records(parse.split_good_bad(_classified(s, d))[1])), path)
-    return _by_hour(s.read.text(path))
+    read = F.from_json("value", "reason string, json string, fields array<string>, hex string")
+    return s.read.text(path).select(_hour().alias("hour"), read.alias("r")).select("hour", "r.reason", "r.json", F.array_join("r.fields", ",").alias("fields"), "r.hex")
 
 
 def _pointers(s, d):
@@ -501,9 +515,11 @@ def file_pointers(s, d):
     return _pointers(s, d).select("filename", "pointer")
 
 
-@query("""SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'parse_error' WHEN event_id % 7 = 0 THEN 'validation_error' ELSE 'ok' END AS outcome, CASE WHEN event_id % 5 <> 0 AND event_id % 7 <> 0 THEN 'f' || event_id END AS filename FROM events""")
+@query("""SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'parse_error' WHEN event_id % 7 = 0 OR event_id % 13 = 0 THEN 'validation_error' ELSE 'ok' END AS outcome,
+ CASE WHEN event_id % 5 <> 0 AND event_id % 7 <> 0 AND event_id % 13 <> 0 THEN CASE WHEN event_id % 11 = 0 THEN 'null' ELSE 'f' || event_id END END AS filename FROM events""")
 def parse_file_pointers(s, d):
-    p = F.when(F.col("event_id") % 5 == 0, F.lit('{"file":"x"}')).when(F.col("event_id") % 7 == 0, F.lit('{"filename":"  "}')).otherwise(F.concat(F.lit('{"filename":" f'), F.col("event_id"), F.lit('"}')))
+    n = F.col("event_id")
+    p = F.when(n % 5 == 0, F.lit('{"file":"x"}')).when(n % 7 == 0, F.lit('{"filename":"  "}')).when(n % 13 == 0, F.lit('{"filename":{"a":1}}')).when(n % 11 == 0, F.lit('{"filename":null}')).otherwise(F.concat(F.lit('{"filename":" f'), F.col("event_id"), F.lit('"}')))
     return archive.parse_file_pointers(_table(s, d, "events").select("event_id", p.alias("pointer"))).select("event_id", "outcome", "filename")
 
 
@@ -513,13 +529,15 @@ def build_manifest(s, d):
     return archive.build_manifest(_pointers(s, d).select(F.col("shard_id").alias("batch"), F.col("first_sequence").alias("sequence_number"), "filename"), "s3a://b/")
 
 
-@query(_with("SELECT count(*) AS lines FROM c WHERE outcome = 'ok'"))
+@query(_with(f"SELECT {_COLS} FROM rows_"))
 def load_from_manifest(s, d):
+    """Archive, pointers of the files that were written, one manifest of them, and the rows of its files."""
     path = _work(s)
     archive.write_archive(parse.split_good_bad(_classified(s, d))[0].select("arrival_ts", F.col("processed_json").alias("value")), path)
-    files = s.read.text(path).select(F.input_file_name().alias("filename"), F.lit("0").alias("sequence_number"), F.lit(1).alias("batch")).distinct()
-    manifest = archive.build_manifest(files).first()["manifest"]
-    return archive.load_from_manifest(s, manifest).agg(F.count("*").alias("lines"))
+    named = archive.parse_file_pointers(archive.file_pointers(archive.written_files(s, path))).where("outcome = 'ok'")
+    batch = named.select(F.lit(1).alias("batch"), F.col("filename").alias("sequence_number"), "filename")
+    manifest = archive.build_manifest(batch).first()["manifest"]  # at most as many names as a load takes files
+    return _flat(load.project_event_row(archive.load_from_manifest(s, manifest)))
 
 
 @query(_with(f"SELECT {_COLS}, {_MONTH} FROM loaded"))
@@ -561,10 +579,29 @@ def list_month_tables(s, d):
     return lifecycle.list_month_tables(_orders(s, d), "orders")
 
 
-@query("SELECT o_orderkey FROM orders WHERE year(o_orderdate) IN (1996, 1997)")
+@query("SELECT o_orderkey FROM orders")
 def union_months(s, d):
-    o = _orders(s, d)
-    return lifecycle.union_months([load.month_slice(o, y, m) for y in (1996, 1997) for m in range(1, 13)]).select("o_orderkey")
+    """Every month of the table, each a table of its own before."""
+    path = _work(s)
+    _orders(s, d).write.partitionBy("year", "month").parquet(path)
+    months = [(r["year"], r["month"]) for r in lifecycle.list_month_partitions(s, path).select("year", "month").collect()]  # one row a month
+    return lifecycle.union_months([load.month_slice(s.read.parquet(path), y, m) for y, m in months]).select("o_orderkey")
+
+
+@query("SELECT CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month FROM orders GROUP BY 1, 2")
+def list_month_partitions(s, d):
+    path = _work(s)
+    _orders(s, d).write.partitionBy("year", "month").parquet(path)
+    return lifecycle.list_month_partitions(s, path).select("year", "month")
+
+
+@query("SELECT CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month, count(*) AS orders FROM orders WHERE o_orderdate >= DATE '1998-01-01' GROUP BY 1, 2")
+def roll_month_tables(s, d):
+    """Partitions older than the window are dropped; what is left is counted."""
+    name = f"orders_{uuid.uuid4().hex}"
+    _orders(s, d).write.partitionBy("year", "month").option("path", _work(s)).saveAsTable(name)
+    lifecycle.roll_month_tables(s, name, dt.date(1998, 6, 15))
+    return s.table(name).groupBy("year", "month").agg(F.count("*").alias("orders"))
 
 
 @query("SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month FROM orders WHERE year(o_orderdate) = 1997 AND month(o_orderdate) IN (1, 2)")
@@ -598,9 +635,14 @@ def stream_ingest(s, d):
 
 @query(_with(f"SELECT DISTINCT {_COLS}, {_MONTH} FROM kept"))
 def stream_load(s, d):
+    """Two runs of several batches each; the second reads files that repeat all lines, and adds nothing.
+    Records of an event stand in one file, since a load takes later copies only together with the first."""
     lines, table, state = _work(s), _work(s), _work(s)
-    parse.split_good_bad(_classified(s, d))[0].select(F.regexp_replace("processed_json", r"\n\z", "").alias("value")).coalesce(1).write.text(lines)
-    jobs.stream_load(s.readStream.schema("value string").text(lines), table, AS_OF, state).awaitTermination()
+    good = parse.split_good_bad(_classified(s, d))[0].select("partition_key", F.regexp_replace("processed_json", r"\n\z", "").alias("value"))
+    for _ in range(2):
+        good.repartition(3, "partition_key").select("value").write.mode("append").text(lines)
+        stream = s.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(lines)
+        jobs.stream_load(stream, table, AS_OF, state).awaitTermination()
     return _flat(s.read.parquet(table))
 
 
@@ -619,12 +661,18 @@ def late_and_future(s, d):
 
 @query(_with("SELECT epoch_ms(date_trunc('day', make_timestamp(arrival_ms * 1000))) AS window_start, shard_id, outcome, count(*) AS records FROM c GROUP BY 1, 2, 3"))
 def stream_metrics(s, d):
-    name = f"metrics_{uuid.uuid4().hex}"
-    counts = jobs.stream_metrics(parse.classify_events(_stream(s, d)))
-    counts.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", _work(s)).trigger(availableNow=True).start().awaitTermination()
-    return s.table(name).withColumn("window_start", F.unix_millis("window_start"))
+    path = _work(s)
+    jobs.stream_metrics_to(jobs.stream_metrics(parse.classify_events(_stream(s, d)), "60 days"), path, _work(s)).awaitTermination()
+    return jobs.latest_metrics(s.read.parquet(path)).withColumn("window_start", F.unix_millis("window_start"))
 
 
 @query(_with("SELECT shard_id, max(1706745600000 - arrival_ms) AS millis_behind FROM raw GROUP BY 1"))
 def stream_lag(s, d):
-    return jobs.stream_lag(raw_records(s, d), 1_706_745_600_000)
+    path = _work(s)
+    jobs.stream_lag_to(_stream(s, d), path, _work(s), now_ms=1_706_745_600_000).awaitTermination()
+    return s.read.parquet(path).groupBy("shard_id").agg(F.max("millis_behind").alias("millis_behind"))
+
+
+#: Earlier names of queries that read their whole tables.
+for _old, _name in {"hex_encode_whole_text": "hex_encode_text", "blank_as_null_whole_text": "blank_as_null", "replay_jsonl_all": "replay_jsonl"}.items():
+    QUERIES[_old], ORACLE_SQL[_old] = QUERIES[_name], ORACLE_SQL[_name]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {"spark.sql.session.timeZone": "UTC", "spark.sql.mapKeyDedupPolicy": "LAST_WIN"}
@@ -12,3 +14,15 @@ def prepare(spark: SparkSession) -> SparkSession:
     for k, v in SETTINGS.items():
         spark.conf.set(k, v)
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir. Where none is set, one of our own on a single machine; on
+    a cluster an error, as what one machine writes to its own disk the others do not see."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+        found = spark.sparkContext.getCheckpointDir()
+    return found.rstrip("/")

@@ -6,7 +6,10 @@ import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from questlog.functions.text import is_container
+from questlog.operators.once import once
 from questlog.schemas import RAW
 
 PARTS = ["year", "month", "day", "hour"]
@@ -44,11 +47,20 @@ def hour_parts(ts: str) -> list[Column]:
     return [F.date_format(ts, p).alias(n) for n, p in zip(PARTS, ("yyyy", "MM", "dd", "HH"))]
 
 
-def write_archive(lines: DataFrame, path: str, salt: int = 1, mode: str = "append") -> None:
-    """Lines (arrival_ts, value) as gzip text by hour of arrival; salt spreads an hour over so many files."""
+def write_archive(lines: DataFrame, path: str, mode: str = "append") -> None:
+    """Lines (arrival_ts, value) as gzip text by hour of arrival.
+
+    Rows come together by hour; adaptive execution splits a large hour into several files of the
+    advisory size and puts small ones into one task.
+    """
     shared = lines.select(F.regexp_replace("value", r"\n\z", "").alias("value"), *hour_parts("arrival_ts"))
-    spread = shared.withColumn("_s", F.pmod(F.xxhash64("value"), F.lit(salt))).repartition(*PARTS, "_s").drop("_s")
-    spread.write.mode(mode).partitionBy(*PARTS).option("compression", "gzip").text(path)
+    shared.hint("rebalance", *PARTS).write.mode(mode).partitionBy(*PARTS).option("compression", "gzip").text(path)
+
+
+def written_files(spark: SparkSession, path: str) -> DataFrame:
+    """The files under a path, from their listing alone: filename, arrival_ts (when it was written) and length."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
+    return listed.select(F.col("path").alias("filename"), F.col("modificationTime").alias("arrival_ts"), "length")
 
 
 def file_pointers(files: DataFrame, name: str = "filename") -> DataFrame:
@@ -57,10 +69,14 @@ def file_pointers(files: DataFrame, name: str = "filename") -> DataFrame:
 
 
 def parse_file_pointers(pointers: DataFrame, data: str = "pointer") -> DataFrame:
-    """File names of pointers; no JSON object with a filename is a parse error, a blank name a validation error."""
-    name = F.element_at(F.from_json(data, "map<string,string>", {"allowSingleQuotes": "false"}), "filename")
-    outcome = F.when(name.isNull(), "parse_error").when(F.trim(name) == "", "validation_error").otherwise("ok")
-    return pointers.withColumns({"outcome": outcome, "filename": F.when(outcome == "ok", F.trim(name))})
+    """File names of pointers. No JSON object with a filename is a parse error; a blank name, an
+    object or an array a validation error; a JSON null is the name null."""
+    options = {"allowSingleQuotes": "false"}
+    read = once(pointers, {"_text": F.from_json(data, "map<string,string>", options), "_kind": F.from_json(data, "map<string,variant>", options)})
+    text = F.when(is_container(F.element_at("_kind", "filename")), "").otherwise(F.coalesce(F.element_at("_text", "filename"), F.lit("null")))
+    there = F.coalesce(F.map_contains_key("_text", "filename"), F.lit(False))
+    outcome = F.when(~there, "parse_error").when(F.trim(text) == "", "validation_error").otherwise("ok")
+    return read.withColumns({"outcome": outcome, "filename": F.when(outcome == "ok", F.trim(text))}).drop("_text", "_kind")
 
 
 def build_manifest(pointers: DataFrame, bucket: str = "", mandatory: bool = True, prefix: str = "manifests") -> DataFrame:
@@ -73,20 +89,25 @@ def build_manifest(pointers: DataFrame, bucket: str = "", mandatory: bool = True
     )
 
 
+def _exists(spark: SparkSession, url: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(url)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def load_from_manifest(spark: SparkSession, manifest: str) -> DataFrame:
-    """Lines of exactly the files that a manifest lists, a bounded number; a mandatory one that is missing fails the read."""
+    """Lines of exactly the files that a manifest lists, a bounded number; a mandatory one that is
+    missing fails the read, another one is passed over."""
     entries = json.loads(manifest)["entries"]
-    must = [e["url"] for e in entries if e["mandatory"]]
-    may = [e["url"] for e in entries if not e["mandatory"]]
-    frames = [spark.read.option("ignoreMissingFiles", "false").text(must)] if must else []
-    frames += [spark.read.option("ignoreMissingFiles", "true").text(u) for u in may]
-    out = frames[0] if frames else spark.createDataFrame([], "value string")
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
-def write_month_tables(rows: DataFrame, path: str, mode: str = "append", salt: int = 8) -> None:
-    """Rows to the partition of their month, sorted by time and type in each file."""
-    spread = F.pmod(F.xxhash64("event_id"), F.lit(salt))  # a month may be nearly all of a load
-    rows.repartition("year", "month", spread).sortWithinPartitions("year", "month", "event_timestamp", "event_type").write.mode(mode).partitionBy("year", "month").parquet(path)
+    files = [e["url"] for e in entries if e["mandatory"] or _exists(spark, e["url"])]
+    return spark.read.text(files) if files else spark.createDataFrame([], "value string")
+
+
+def write_month_tables(rows: DataFrame, path: str, mode: str = "append") -> None:
+    """Rows to the partition of their month, sorted by time and type in each file; a month that is
+    nearly all of a load is split by size."""
+    rows.hint("rebalance", "year", "month").sortWithinPartitions("year", "month", "event_timestamp", "event_type").write.mode(mode).partitionBy("year", "month").parquet(path)
+
+
+def existing_months(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The month tables under a path; no rows where nothing has been written yet."""
+    return spark.read.schema(schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from questlog.operators import load, parse
-from questlog.sources.archive import write_archive, write_month_tables
+from questlog.sources.archive import existing_months, write_archive, write_month_tables
 
 
-def _start(stream: DataFrame, each, checkpoint: str, trigger: str | None) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+def _start(stream: DataFrame, each, checkpoint: str, trigger: str | None, mode: str = "append") -> StreamingQuery:
+    writer = stream.writeStream.outputMode(mode).foreachBatch(each).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)).start()
 
 
@@ -33,19 +34,21 @@ def stream_ingest(raw: DataFrame, good_path: str, error_path: str, checkpoint: s
     return _start(raw, each, checkpoint, trigger)
 
 
-def stream_load(lines: DataFrame, table: str, as_of: dt.date, checkpoint: str, months: int = 6, trigger: str | None = None) -> StreamingQuery:
-    """Load archive lines into the month tables batch by batch, against what they hold already."""
+def stream_load(lines: DataFrame, table: str, as_of: dt.date, checkpoint: str, months: int = 6, trigger: str | None = None, on_error: str = "fail", errors_path: str | None = None) -> StreamingQuery:
+    """Load archive lines into the month tables batch by batch, against what they hold already.
+
+    Of the tables only the months that the batch has are read, at most as many as the retention
+    window. Rows that break a rule fail the batch, or go to errors_path with on_error="quarantine".
+    """
 
     def each(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        rows = load.project_event_row(batch)
-        try:
-            existing = spark.read.parquet(table)
-        except Exception as e:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            existing = load.with_month(rows).limit(0)
-        write_month_tables(load.dedupe_load(rows, existing, as_of, months), table)
+        rows = load.project_event_row(batch, errors=True).persist()
+        there = [(r["year"], r["month"]) for r in load.months_in_batch(load.retention_filter(rows, as_of, months)).collect()]
+        existing = existing_months(batch.sparkSession, table, load.with_month(rows.drop("type_errors")).schema)
+        if on_error == "quarantine" and errors_path:
+            load.split_load_errors(rows, on_error)[1].write.mode("append").parquet(errors_path)
+        write_month_tables(load.dedupe_load(rows, existing, as_of, months, on_error, there), table)
+        rows.unpersist()
 
     return _start(lines, each, checkpoint, trigger)
 
@@ -57,8 +60,7 @@ def stream_dedupe(events: DataFrame, keys: list[str], delay: str = "1 hour", tim
 
 def late_and_future(batch: DataFrame, as_of: dt.date, months: int = 6) -> DataFrame:
     """Counts of what a load takes and refuses: older than the window, inside it, after this month."""
-    first = F.add_months(F.trunc(F.lit(as_of), "month"), -months).cast("timestamp")
-    end = F.add_months(F.trunc(F.lit(as_of), "month"), 1).cast("timestamp")
+    first, end = load._window(as_of, months)
     place = F.when(F.col("event_timestamp") < first, "too old").when(F.col("event_timestamp") >= end, "future").otherwise("accepted")
     return batch.groupBy(place.alias("place")).agg(F.count("*").alias("events"))
 
@@ -71,6 +73,31 @@ def stream_metrics(events: DataFrame, delay: str = "1 hour", period: str = "1 da
     )
 
 
+def stream_metrics_to(counts: DataFrame, path: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
+    """Write the windows that each batch has changed; latest_metrics reads the last state of each.
+    State of windows behind the watermark is dropped."""
+
+    def each(batch: DataFrame, number: int) -> None:
+        batch.withColumn("batch", F.lit(number)).write.mode("append").parquet(path)
+
+    return _start(counts, each, checkpoint, trigger, "update")
+
+
+def latest_metrics(written: DataFrame) -> DataFrame:
+    """The last count of each window; a batch that is written twice changes nothing."""
+    return written.groupBy("window_start", "shard_id", "outcome").agg(F.max_by("records", "batch").alias("records"))
+
+
 def stream_lag(batch: DataFrame, now_ms: int) -> DataFrame:
     """Milliseconds that each shard's batch is behind at most."""
     return batch.groupBy("shard_id").agg(F.max(F.lit(now_ms) - F.unix_millis("arrival_ts")).alias("millis_behind"))
+
+
+def stream_lag_to(raw: DataFrame, path: str, checkpoint: str, trigger: str | None = None, now_ms: int | None = None) -> StreamingQuery:
+    """How far each shard of each batch is behind the time at which it is read, or behind now_ms."""
+
+    def each(batch: DataFrame, number: int) -> None:
+        now = int(time.time() * 1000) if now_ms is None else now_ms
+        stream_lag(batch, now).withColumn("batch", F.lit(number)).write.mode("append").parquet(path)
+
+    return _start(raw, each, checkpoint, trigger)
