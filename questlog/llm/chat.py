@@ -321,10 +321,23 @@ def compile_template(source: str) -> Callable[[dict], Iterator[Piece]]:
     return _block(fold(parse(source)), False)
 
 
+def _reads(nodes: list) -> int:
+    """How often the messages are read at most: one loop counts once, one in a loop twice."""
+    total = 0
+    for node in nodes:
+        if isinstance(node, For):
+            total += (node.over == Name("messages")) + 2 * _reads(node.body)
+        elif isinstance(node, If):
+            total += max(_reads(node.then), _reads(node.other))
+        elif isinstance(node, Generation):
+            total += _reads(node.body)
+    return total
+
+
 def _turns(batches: Iterable[pd.DataFrame]) -> Iterator[tuple[object, dict]]:
     for b in batches:
         for conv, role, text in zip(b["conv_id"], b["role"], b["text"]):
-            yield None if conv != conv else conv, {"role": role if isinstance(role, str) else "", "text": text if isinstance(text, str) else ""}
+            yield conv if isinstance(conv, str) else None, {"role": role if isinstance(role, str) else "", "text": text if isinstance(text, str) else ""}
 
 
 def _parts(render: Callable[[dict], Iterator[Piece]], messages: Iterator[dict]) -> Iterator[tuple[str, list[dict]]]:
@@ -358,10 +371,13 @@ def format_conversations(turns: DataFrame, template: str = TEMPLATE) -> DataFram
 
     loss holds the spans of code points under {% generation %}. A conversation is one part unless
     it is very long; parts end between turns, so that memory is bounded whatever a conversation
-    holds. Turns of one conversation come together by a sort, not a list. Null roles and texts are
-    empty; a null conv_id is a conversation of its own; repeated rows are repeated turns.
+    holds. Turns of one conversation come together by a sort, not a list; they are read once, so a
+    template has one loop over messages, in no other loop. Null roles and texts are empty; a null
+    conv_id is a conversation of its own; repeated rows are repeated turns.
     """
     compile_template(template)  # a wrong template fails here, not in a task
+    if _reads(fold(parse(template))) > 1:
+        raise TemplateError("messages are read more than once")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         render = compile_template(template)
@@ -380,8 +396,9 @@ def format_conversations(turns: DataFrame, template: str = TEMPLATE) -> DataFram
         turns.select("conv_id", "turn", "role", "text")
         .repartition("conv_id")
         .sortWithinPartitions("conv_id", "turn", "role", "text")
-        .select(F.col("conv_id").cast("long").alias("conv_id"), "role", "text")
-        .mapInPandas(run, "conv_id long, part long, formatted string, loss array<struct<start:long,end:long>>")
+        .select(F.col("conv_id").cast("string").alias("conv_id"), "role", "text")
+        .mapInPandas(run, "conv_id string, part long, formatted string, loss array<struct<start:long,end:long>>")
+        .withColumn("conv_id", F.col("conv_id").cast(turns.schema["conv_id"].dataType))
     )
 
 
@@ -398,7 +415,7 @@ def digest(formatted: DataFrame) -> DataFrame:
     """Read formatted conversations back and sum them up: one row for each, from its parts in order."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = ((None if c != c else c, t, s) for b in batches for c, t, s in zip(b["conv_id"], b["formatted"], b["loss"]))
+        parts = ((c if isinstance(c, str) else None, t, s) for b in batches for c, t, s in zip(b["conv_id"], b["formatted"], b["loss"]))
         rows = []
         for conv, group in itertools.groupby(parts, key=lambda x: x[0]):
             turns, loss, n, lost, size = hashlib.sha256(), hashlib.sha256(), 0, 0, 0
@@ -418,7 +435,8 @@ def digest(formatted: DataFrame) -> DataFrame:
         if rows:
             yield pd.DataFrame(rows, columns=_DIGEST)
 
-    return formatted.mapInPandas(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    found = formatted.withColumn("conv_id", F.col("conv_id").cast("string")).mapInPandas(run, "conv_id string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return found.withColumn("conv_id", F.col("conv_id").cast(formatted.schema["conv_id"].dataType))
 
 
 _DIGEST = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
