@@ -184,9 +184,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     A window is WINDOW consecutive words of an item; an item of fewer words, but not none, is one
     window. Winnowing keeps a gram from every window, by content alone, so both sides keep the
     same one and every shared window is found; the words around it are then compared themselves.
-    Null texts have no words. Repeated rows count each for themselves.
+    Null texts have no words. Repeated rows count each for themselves. Items without an id are
+    looked for like any other.
     """
-    bench = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("_text")).where(F.col("item_id").isNotNull())
+    bench = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("_text"))
     lengths = sorted(
         r["n"] for r in _fingerprints(bench, "_text", [], None, True).where((F.col("n_words") > 0) & (F.col("n_words") < WINDOW)).select(F.col("n_words").alias("n")).distinct().collect()
     )
@@ -194,7 +195,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
         _fingerprints(bench, "_text", lengths, None, True)
         .select("item_id", F.explode("prints").alias("p"))
         .select("item_id", F.col("p.hash").alias("hash"), F.col("p.length").alias("length"), F.col("p.context").alias("item_context"))
-        .withColumn("passage", F.xxhash64("length", "item_context"))
+        .withColumn("passage", F.md5(F.to_json(F.struct("length", "item_context")).cast("binary")))
         .distinct()
     )
     passages = cut(items.select("hash", "length", "item_context", "passage").distinct())
@@ -224,7 +225,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **names: str) -> DataFrame:
-    """One row for each row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    """One row for each row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+    Items without an id hit words and are in no list."""
     rows, hits, items = contamination(docs, benchmark, **names)
     order = Window.partitionBy("row_id").orderBy("start", "end")
     reach = F.coalesce(F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -234,12 +236,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **names: str) -> DataFr
         .groupBy("row_id").agg(F.sum("fresh").alias("n_hit"))
     )
     named = (
-        hits.select("row_id", "passage").distinct().join(items, "passage").select("row_id", F.col("item_id").cast("string").alias("item")).distinct()
+        hits.select("row_id", "passage").distinct().join(items.where("item_id is not null"), "passage").select("row_id", F.col("item_id").cast("string").alias("item")).distinct()
         .groupBy("row_id").agg(F.sort_array(F.collect_list("item")).alias("items"))
         .select("row_id", F.size("items").cast("long").alias("n_items"), F.array_join("items", ",").alias("joined"))
     )
     return (
-        rows.join(covered.join(named, "row_id"), "row_id", "left")
+        rows.join(covered.join(named, "row_id", "left"), "row_id", "left")
         .select(
             "doc_id",
             "n_words",
