@@ -18,7 +18,8 @@ LEAST = 0.5
 
 #: An address from its sign on; [A-Za-z0-9._%+-]+ stands before it.
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: Begins where a run of digits begins and gives none back, so that a long run is read once.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
@@ -26,12 +27,12 @@ _NATIONAL = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 #: By kind: score of a confirmed match, and words that raise or lower it.
 SCORES = {"email": 0.9, "ip": 0.6, "card": 0.9, "phone": 0.7, "iban": 0.9, "national_id": 0.4}
 CONTEXT = {
-    "email": (("mail", "contact", "write"), ("example",)),
-    "ip": (("ip", "address", "server", "host"), ("version", "section")),
-    "card": (("card", "visa", "credit", "payment"), ("order", "isbn", "serial")),
-    "phone": (("phone", "call", "tel", "mobile", "fax"), ("order", "serial")),
-    "iban": (("iban", "bank", "account"), ()),
-    "national_id": (("ssn", "social", "security", "id"), ("part", "serial", "order")),
+    "email": (("mail", "contact", "write", "reach", "send"), ("example", "noreply")),
+    "ip": (("ip", "address", "server", "host", "router", "login", "subnet"), ("version", "section", "release", "chapter")),
+    "card": (("card", "visa", "credit", "payment", "mastercard", "amex", "expir"), ("order", "isbn", "serial", "tracking")),
+    "phone": (("phone", "call", "tel", "mobile", "fax", "whatsapp", "cell"), ("order", "serial", "score")),
+    "iban": (("iban", "bank", "account", "transfer", "bic"), ()),
+    "national_id": (("ssn", "social", "security", "id", "taxpayer", "born"), ("part", "serial", "order", "model")),
 }
 
 
