@@ -17,9 +17,8 @@ from questlog.llm.common import by_size
 WIDTH = 6
 FILTERS = 16
 CHUNK = 512
-#: Bounds of the fitted sample: labelled rows, and bytes from each, at a place set by its hash.
+#: The bound of the fitted sample: labelled rows, whole.
 SAMPLE_ROWS = 1600
-SAMPLE_BYTES = 3072
 EPOCHS = 14
 _BATCH = 32
 #: Chunks whose filters are evaluated at once.
@@ -158,14 +157,14 @@ def train(samples: list[tuple[str, int]], seed: int = 7) -> Network:
 
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "label") -> Network:
-    """Fit on a sample of SAMPLE_ROWS labelled rows at about, drawn by the hash of their text, and
-    SAMPLE_BYTES characters from each; no more reaches the driver. Null labels and texts are left out."""
+    """Fit on the whole texts of a sample of SAMPLE_ROWS labelled rows, those whose texts have the
+    least hashes; no more reaches the driver. Null labels and texts are left out; a text that is
+    there twice counts once for each label. The sample is the same for any order of rows."""
     rows = labelled.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"))
     total = rows.count()
-    seed = F.xxhash64("text")
-    drawn = rows.where(seed.bitwiseAND(F.lit(0xFFFFFF)) / F.lit(0x1000000) < min(1.0, SAMPLE_ROWS / max(1, total)))
-    last = F.greatest(F.length("text") - SAMPLE_BYTES, F.lit(0))
-    found = drawn.select(F.substring("text", (F.pmod(seed, last + 1) + 1).cast("int"), F.lit(SAMPLE_BYTES)).alias("text"), "label").distinct().limit(2 * SAMPLE_ROWS).collect()
+    seed = F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF))
+    drawn = rows.where(seed / F.lit(0x80000000) < min(1.0, 2 * SAMPLE_ROWS / max(1, total))).distinct()
+    found = drawn.orderBy(seed, "text", "label").limit(SAMPLE_ROWS).collect()
     return train(sorted((r["text"], r["label"]) for r in found))
 
 
