@@ -80,7 +80,8 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_tokens
     the budget at the bucket's length, one at least; only the last of a bucket may hold fewer.
     The histogram has max_tokens + 1 rows at most, whatever the input. Null and empty texts, and
     ones of white space only, are pieces of no tokens. Repeated rows are packed each; pieces of a
-    bucket are numbered by shards of their hash, so no bucket is ever in one task.
+    bucket are numbered by shards of a hash of id, place and text, so no bucket is ever in one task,
+    nor are rows without an id. Only rows that are equal in all three share a shard.
     """
     pieces = cut_pieces(docs, doc_id, text, max_tokens)  # counted anew where it is used: cheaper than texts on disk
     histogram = pieces.groupBy("n_tokens").count().collect()
@@ -93,13 +94,14 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_tokens
     pick = lambda values: F.get(F.array(*[F.lit(int(v)) for v in values or [1]]), F.col("bucket"))
     placed = pieces.withColumn("bucket", bucket).withColumns({
         "bucket_tokens": pick(bounds),
-        "shard": F.pmod(F.xxhash64("doc_id", "piece"), pick([max(1, math.ceil(n / SHARD_ROWS)) for n in inside])),
+        "mark": F.xxhash64("doc_id", "piece", "text"),
+        "shard": F.pmod(F.xxhash64("doc_id", "piece", "text"), pick([max(1, math.ceil(n / SHARD_ROWS)) for n in inside])),
         "room": pick([max(1, batch_tokens // max(1, b)) for b in bounds]),
     })
     sizes = placed.groupBy("bucket", "shard").agg(F.count("*").alias("n"))
     before = Window.partitionBy("bucket").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("bucket", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    numbered = placed.withColumn("number", F.row_number().over(Window.partitionBy("bucket", "shard").orderBy("doc_id", "piece")) - 1).join(offsets, ["bucket", "shard"])
+    numbered = placed.withColumn("number", F.row_number().over(Window.partitionBy("bucket", "shard").orderBy("doc_id", "piece", "mark")) - 1).join(offsets, ["bucket", "shard"])
     at = F.col("offset") + F.col("number")
     return numbered.select(
         "doc_id", "piece", "n_tokens", "text", "bucket", "bucket_tokens",
