@@ -7,12 +7,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from questlog.llm.common import by_size
 
-#: Symbols parsed as one piece; no phrase runs over the end of a block.
+#: Symbols of a block. Blocks of a text are parsed side by side and then made to fit together.
 BLOCK = 256
 #: Characters of labelled text for each language, the documented bound of the fitted sample.
 SAMPLE_CHARS = 24_000
@@ -110,8 +110,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample_chars: i
     """Sample about sample_chars characters of text for each language and fit.
 
     Each row offers one piece, at a place set by the hash of its text; pieces are taken by that
-    hash below a share set by the number of labelled rows. So the sample is the same for any order
-    and partitioning of rows. It is cut at twice the bound: no more reaches the driver for a language.
+    hash below a share set by the number of labelled rows, in its order up to the bound. So the
+    sample is the same for any order and partitioning of rows, and no more reaches the driver.
     """
     rows = docs.where(F.col(lang).isNotNull() & (F.length(text) > 0)).select(
         F.col(lang).alias("lang"), F.col(text).alias("text")
@@ -119,18 +119,20 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample_chars: i
     totals = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not totals:
         return train({})
-    share = F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, min(1.0, 1.5 * sample_chars / PIECE / n))])
+    share = F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, min(1.0, 3 * sample_chars / PIECE / n))])
     seed = F.xxhash64("text")
     last = F.greatest(F.length("text") - PIECE, F.lit(0))
     drawn = (
         rows.where(seed.bitwiseAND(F.lit(0xFFFFFF)) / F.lit(0x1000000) < share[F.col("lang")])
-        .select("lang", F.substring("text", (F.pmod(seed, last + 1) + 1).cast("int"), F.lit(PIECE)).alias("piece"))
+        .select("lang", seed.bitwiseAND(F.lit(0xFFFFFF)).alias("seed"), F.substring("text", (F.pmod(seed, last + 1) + 1).cast("int"), F.lit(PIECE)).alias("piece"))
         .distinct()
     )
+    before = Window.partitionBy("lang").orderBy("seed", "piece").rowsBetween(Window.unboundedPreceding, -1)
+    drawn = drawn.withColumn("before", F.coalesce(F.sum(F.length("piece")).over(before), F.lit(0))).where(F.col("before") < 1.5 * sample_chars)
     found: dict[str, list[str]] = {}
     for r in drawn.collect():
         found.setdefault(r["lang"], []).append(r["piece"])
-    return train({k: "\n".join(sorted(v))[: 2 * sample_chars] for k, v in found.items()})
+    return train({k: "\n".join(sorted(v)) for k, v in found.items()})
 
 
 def parse_costs(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -149,28 +151,92 @@ def parse_costs(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.n
     inner = np.arange(len(owner)) - np.repeat(np.cumsum(per) - per, per)
     start = (np.cumsum(sizes) - sizes)[owner] + inner * BLOCK
     length = np.minimum(sizes[owner] - inner * BLOCK, BLOCK)
+    langs = len(model.langs)
+    roots = (model.roots * model.width).astype(np.int64)
+    for first in range(0, len(owner), WIDTH):
+        # whole texts only: a lot runs up to the end of the text that its last block is of
+        lo = int(np.searchsorted(owner, owner[first])) if first else 0
+        hi = len(owner) if first + WIDTH >= len(owner) else int(np.searchsorted(owner, owner[first + WIDTH]))
+        if lo < hi:
+            _parse_lot(model.table, model.width, roots, codes, start[lo:hi], length[lo:hi], inner[lo:hi], owner[lo:hi], counts[:, :langs])
+    return counts, sizes
+
+
+def _parse_lot(table: np.ndarray, width: int, roots: np.ndarray, codes: np.ndarray, start: np.ndarray, length: np.ndarray, inner: np.ndarray, owner: np.ndarray, counts: np.ndarray) -> None:
+    """Add the phrases of whole texts, given by their blocks, to counts.
+
+    Every block is parsed as if a phrase began with it. Then a block that is not its text's first
+    is parsed on from the state in which the one before ends, until a phrase begins where one did
+    before: from there on both agree. Where they never do, its own end changes and the next block
+    is taken up again. The outcome is that of one parse of the whole text.
+    """
+    langs, blocks = len(roots), len(start)
+    begins = np.zeros((langs, BLOCK, blocks), bool)
+    final = np.zeros((langs, blocks), np.int64)
     order = np.argsort(-length, kind="stable")
-    for lo in range(0, len(order), WIDTH):
-        part = order[lo : lo + WIDTH]
-        s, n = start[part], length[part]
-        active = np.searchsorted(-n, -np.arange(n[0]), side="left")
-        roots = model.roots[:, None] * model.width
-        state = np.repeat(roots, len(part), axis=1)
-        phrases = np.zeros((len(model.langs), len(part)), np.int32)
-        phrases[:] = 1
-        for t in range(n[0]):
-            k = active[t]
-            sym = codes[s[:k] + t]
-            to = model.table[state[:, :k] + sym]
+    s, n = start[order], length[order]
+    active = np.searchsorted(-n, -np.arange(n[0]), side="left")
+    state = np.zeros((langs, blocks), np.int64)
+    for t in range(int(n[0])):
+        k = int(active[t])
+        sym = codes[s[:k] + t]
+        to = table[state[:, :k] + sym]
+        miss = to == 0
+        begins[:, t, :k] = miss
+        to = np.where(miss, table[roots[:, None] + sym], to)
+        state[:, :k] = to.astype(np.int64) * width  # after a symbol that a language lacks a phrase begins anyway
+    final[:, order] = state
+    begins[:, :, order] = begins.copy()
+    plain = final.copy()
+    total = begins.sum(axis=1, dtype=np.int64)
+    shift = np.zeros_like(total)
+    lang, block = (x.ravel() for x in np.meshgrid(np.arange(langs), np.flatnonzero(inner > 0), indexing="ij"))
+    entered = np.zeros((langs, blocks), np.int64)
+    while len(block):
+        state = final[lang, block - 1]
+        fresh = state != entered[lang, block]
+        lang, block, state = lang[fresh], block[fresh], state[fresh]
+        entered[lang, block] = state
+        shift[lang, block] = 0
+        seen = np.zeros(len(block), np.int64)
+        changed = []
+        for t in range(BLOCK):
+            over = t >= length[block]
+            if over.any():
+                shift[lang[over], block[over]] = seen[over]
+                moved = over & (final[lang, block] != state)
+                final[lang[moved], block[moved]] = state[moved]
+                changed.append((lang[moved], block[moved]))
+                lang, block, state, seen = lang[~over], block[~over], state[~over], seen[~over]
+            if not len(block):
+                break
+            sym = codes[start[block] + t]
+            to = table[state + sym]
             miss = to == 0
-            if t:
-                phrases[:, :k] += miss
-            first = model.table[(roots + sym)]
-            to = np.where(miss, first, to)
-            state[:, :k] = np.where(to == 0, roots, to * model.width)
-        for j in range(len(model.langs)):
-            np.add.at(counts[:, j], owner[part], phrases[j])
-    return counts, sizes
+            was = begins[lang, t, block]
+            seen += miss.astype(np.int64) - was
+            met = miss & was
+            shift[lang[met], block[met]] = seen[met]
+            back = met & (final[lang, block] != plain[lang, block])
+            if back.any():
+                final[lang[back], block[back]] = plain[lang[back], block[back]]
+                changed.append((lang[back], block[back]))
+            to = np.where(miss, table[roots[lang] + sym], to)
+            state = to.astype(np.int64) * width
+            lang, block, state, seen = lang[~met], block[~met], state[~met], seen[~met]
+        else:
+            shift[lang, block] = seen
+            moved = final[lang, block] != state
+            final[lang[moved], block[moved]] = state[moved]
+            changed.append((lang[moved], block[moved]))
+        lang, block = (np.concatenate([c[i] for c in changed]) if changed else np.zeros(0, np.int64) for i in (0, 1))
+        block = block + 1
+        on = block < blocks
+        lang, block = lang[on], block[on]
+        on = inner[block] > 0
+        lang, block = lang[on], block[on]
+    for j in range(langs):
+        np.add.at(counts[:, j], owner, total[j] + shift[j])
 
 
 def identify(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
