@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from questlog.session import shared_folder
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, by any path that Spark's readers open."""
@@ -21,19 +22,13 @@ def crc_is(column: str, modulus: int, remainder: int) -> Column:
     return F.coalesce(crc % modulus == remainder, F.lit(False))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one of our own only where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-        found = spark.sparkContext.getCheckpointDir()
-    return found.rstrip("/")
-
-
 def cut(df: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
-    """Write a frame as a table in the shared folder and read it back: a short lineage of known size."""
+    """Write a frame as a table in the shared folder and read it back: a short lineage of known size.
+
+    Tables of one application lie in one folder, which may be deleted once its results are written.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/questlog-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/questlog-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
