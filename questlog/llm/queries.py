@@ -69,7 +69,8 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents"))
     s = F.col("pii")
     return found.select(
-        "doc_id", *[_count(s, k).alias(f"n_{k}") for k in pii.BASE], F.sha2(_joined(s, pii.BASE), 256).alias("base_sha256"), _joined(s).alias("spans")
+        "doc_id", *[_count(s, k).alias(f"n_{k}") for k in pii.BASE], F.sha2(_joined(s, pii.BASE), 256).alias("base_sha256"), _joined(s).alias("spans"),
+        F.array_join(F.transform(s, lambda x: F.format_string("%.2f", x["score"])), ",").alias("scores"),
     )
 
 
