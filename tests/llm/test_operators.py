@@ -2,11 +2,12 @@ import hashlib
 import itertools
 import math
 import re
+import time
 from collections import Counter
 
 import numpy as np
 
-from questlog.llm import chat, egojoin, langid, lm, packing, pii, quality, secrets, simhash, winnow
+from questlog.llm import chat, egojoin, langid, lm, packing, pii, quality, queries, secrets, simhash, winnow
 from questlog.llm.common import components
 
 TEXTS = [None, "", "   \n", "!!! 123", "The cat sat on the mat with a hat", "the CAT sat on the mat with a hat", "x" * 30000, "pässword = 'äöü' ελ"]
@@ -192,13 +193,32 @@ def test_language_model(spark):
         want = sum(math.log10((c[x] + 0.5) / (sum(c.values()) + 0.5 * (len(c) + 1))) for x in w)
         assert abs(got[i]["base_score"] - want) < 1e-9 and got[i]["n_tokens"] == len(w) and got[i]["n_known"] == sum(c[x] > 0 for x in w)
         assert got[i]["score"] < 0
-    # each text's own probability: a distribution over the first symbol adds up to one
+    # the probabilities of all 257 symbols after a byte add up to one, whatever the counts say
+    rng = np.random.default_rng(2)
     pairs = np.zeros(256 * lm.SYMBOLS, np.int64)
     pairs[[97 * lm.SYMBOLS + 98, 97, lm.END]] = 5
-    code = lm.build_code(pairs)
-    model = lm.Model(code, np.linspace(-1, 1, 65536).astype(np.float32), [np.zeros(lm.SLOTS, np.float32)] * 2)
-    first = lm.log10_probability(model, [""])
-    assert first[0] < 0 and abs(lm.log10_probability(model, ["ab", ""])[1] - first[0]) < 1e-6
+    code, first = lm.fit(pairs)
+    for p in (0, 97):
+        keys = p * lm.SYMBOLS + np.arange(lm.SYMBOLS)
+        length = code.length[keys].astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(length)])
+        step = code.packed[np.repeat(code.at[keys] - ends[:-1], length) + np.arange(ends[-1])]
+        kinds = np.unique(step & 0xFFFF).astype(np.int64)
+        model = lm.Model(code, first, [kinds] * 2, [rng.normal(0, 3, len(kinds)).astype(np.float32) for _ in range(2)])
+        records = lm._inputs(model, lm.Layout(np.arange(lm.SYMBOLS), ends, step, [(step & 0xFFFF).astype(np.int64)] * 2))
+        order = np.argsort(-length, kind="stable")
+        cost = lm._mix(records, np.arange(ends[-1], dtype=np.int32), ends[:-1][order], length[order])
+        assert abs(np.exp(-cost).sum() - 1) < 1e-3
+    alone, beside = (lm.log10_probability(model, t) for t in ([""], ["ab", ""]))
+    assert alone[0] < 0 and abs(beside[1] - alone[0]) < 1e-6
+
+
+def test_language_model_learns_while_it_codes(spark):
+    rng = np.random.default_rng(6)
+    letters = lambda n: "".join(chr(c) for c in rng.integers(97, 123, n))
+    model = lm.Model(*lm.fit(np.zeros(256 * lm.SYMBOLS, np.int64)))
+    again, apart = (lm.log10_probability(model, [t])[0] for t in (letters(40) * 20, letters(800)))
+    assert again > 0.7 * apart > apart  # what has been said before costs less
 
 
 def test_language_model_tells_all_contexts_apart(spark):
@@ -220,3 +240,137 @@ def test_allow_list_covers_only_its_part(spark):
     for text, spans in zip(texts, got):
         assert not any(re.search(r"example|A{8}", text[s["start"] : s["end"]]) for s in spans)
     assert {s["start"] < len(key) for s in got[1]} == {True, False}
+
+
+def test_base_spans_of_the_queries_against_brute_force(spark, tmp_path):
+    key = "9f3b2c7d1e8a4f60b5c9d2e7f1a3b4c8"
+    texts = [
+        *TEXTS, f"Password = hunter2hunter2 {key} AKIAABCDEFGHIJKLMN", "api-key: x api_key: 12345678 TOKEN:abcdefgh", "a.b@c.de, x@y.zz.uk @no.de a@b",
+        "10.0.0.1 256.1.1.1 1.2.3.4.5 001.02.3.4 1..2.3.4", "4111 1111 1111 1111 and 4111-1111-1111-1112", "+49 (30) 123-456.78 +1 2 +123456789012345678", "é 😀 a@b.cd 1.1.1.1",
+        "1" * 5000 + ".2.3.4", "+1" + " " * 3000, "ssn 123-45-6789, card 5500000000000004",
+    ]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    digits = lambda m: re.sub("[^0-9]", "", m)
+
+    def luhn(d):
+        return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(d[::-1])) % 10 == 0
+
+    kinds = {
+        "op1_secret_scans": [("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[2]) >= 8), ("access", "AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 16), ("hex", "[0-9a-f]+", lambda m: len(m[0]) >= 32)],
+        "op8_pii": [
+            ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x[-9:]) <= 255 and len(x.lstrip("0")) <= 3 for x in m[0].split("."))),
+            ("card", r"[0-9]([\x20-]?[0-9])+", lambda m: 14 <= len(digits(m[0])) <= 19 and luhn(digits(m[0]))), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 10 <= len(digits(m[0])) <= 15),
+        ],
+    }
+    for name, patterns in kinds.items():
+        for r in queries.QUERIES[name](spark, str(tmp_path)).collect():
+            t = texts[r["doc_id"]] or ""
+            want = sorted(((k, m.start(), m.end()) for k, p, ok in patterns for m in re.finditer(p, t, re.A) if ok(m)), key=lambda x: (x[1], [k for k, _, _ in patterns].index(x[0])))
+            assert r["base_sha256"] == hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in want).encode()).hexdigest(), (name, t[:80])
+            assert all(r[f"n_{k}"] == sum(x[0] == k for x in want) for k, _, _ in patterns)
+            assert {f"{k}:{s}:{e}" for k, s, e in want} <= set(r["spans"].split(","))
+
+
+def test_long_runs_of_digits_are_read_once():
+    began = time.time()
+    assert pii.find("7" * 1_000_000) == [] and pii.find("1." * 200_000)[0][0] == "ip"
+    assert time.time() - began < 20
+
+
+def test_batches_keep_their_budget(spark):
+    rng = np.random.default_rng(9)
+    texts = [" ".join(["w"] * int(n)) for n in rng.integers(0, 60, 400)]
+    rows = [(None if i % 3 == 0 else i % 7, t, None, None, None, 1.0) for i, t in enumerate(texts)]  # ids missing and repeated
+    got = packing.pack(spark.createDataFrame(rows, docs(spark, []).schema), max_tokens=40, buckets=4, batch_tokens=200).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got if r["piece"] == 0 and r["n_tokens"] < 40) == Counter((r[0], r[1]) for r in rows if len(r[1].split()) < 40)
+    by = {}
+    for r in got:
+        by.setdefault(r["bucket"], {}).setdefault(r["batch"], []).append(r)
+    for batches in by.values():
+        room = 200 // next(iter(batches.values()))[0]["bucket_tokens"] if next(iter(batches.values()))[0]["bucket_tokens"] else 200
+        assert sorted(batches) == list(range(len(batches)))
+        for k, pieces in batches.items():
+            assert sorted(p["slot"] for p in pieces) == list(range(len(pieces)))
+            assert len(pieces) == room or (k == len(batches) - 1 and 0 < len(pieces) <= room)
+    lengths = Counter(r["n_tokens"] for r in got)
+    padding = lambda bounds: sum(c * (min(b for b in bounds if b >= n) - n) for n, c in lengths.items())
+    bounds = sorted({r["bucket_tokens"] for r in got})
+    sizes = sorted(lengths)
+    assert padding(bounds) == min(padding((*x, sizes[-1])) for x in itertools.combinations(sizes[:-1], 3))
+
+
+def test_cross_parse_is_of_the_whole_text():
+    rng = np.random.default_rng(1)
+    make = lambda letters, n: "".join(rng.choice(list(letters), n))
+    model = langid.train({"a": make("abcde ", 3000), "b": make("abxyz ", 3000)})
+
+    def brute(text, root):
+        state = phrases = 0
+        for p in langid._fold(text).tolist():
+            c = model.symbols.get(p, 0)
+            to = model.table[state + c] if state else 0
+            if to == 0:
+                phrases += 1
+                to = model.table[root * model.width + c]
+            state = int(to) * model.width
+        return phrases
+
+    texts = [make("abcdexyzq ", n) for n in (0, 1, 5, 255, 256, 257, 700, 3000, 9000)] + ["a" * 2800, "q" * 600, make("abc ", 20000)]
+    counts, _ = langid.parse_costs(model, texts)
+    assert [list(row) for row in counts] == [[brute(t, r) if t else 0 for r in model.roots] for t in texts]
+
+
+def test_grid_order_join_over_many_intervals(spark):
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(60, 8))
+    x = np.concatenate([centres[rng.integers(0, 60, 3000)] + rng.normal(0, 0.25, (3000, 8)), rng.normal(size=(2000, 8))])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = unit @ unit.T >= 0.93
+    group = np.arange(len(x))
+    while True:
+        new = np.array([group[row].min() for row in links])
+        if (new == group).all():
+            break
+        group = new
+    rows = spark.createDataFrame([(i, [float(v) for v in r], 1) for i, r in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r for r in egojoin.near_duplicates(rows).collect()}
+    assert all(got[i]["n_links"] == links[i].sum() - 1 and got[i]["component_id"] == group[i] for i in range(len(x)))
+
+
+def test_large_missing_and_repeated_ids(spark, tmp_path):
+    big = 1 << 53
+    ids = [None, big + 1, big + 3, 5, 5, None]
+    texts = ["one text about nothing", "another text here", "third text of them", "password: hunter2hunter2", "mail a@b.cd please", ""]
+    spark.createDataFrame(list(zip(ids, texts, ["aa"] * 6)), "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(big + 1, 1), (5, 0), (None, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(None, "another text here"), (3, "third text of them")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    turns = [(i, t, "user" if t % 2 == 0 else "assistant", f"{i} says {t}") for i in (None, big, big + 1) for t in range(2)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    for name in ("op1_secret_scans", "op2_quality_classifier", "op5_benchmark_decontamination", "op7_language_id", "op8_pii", "op9_lm_scoring", "op10_simhash_near_dedup"):
+        got = queries.QUERIES[name](spark, str(tmp_path)).collect()
+        assert Counter(r["doc_id"] for r in got) == Counter(ids), name
+        if name.startswith("op5"):
+            hit = {r["doc_id"]: (r["n_hit"], r["n_items"]) for r in got if r["n_hit"]}
+            assert hit == {big + 1: (3, 0), big + 3: (4, 1)}  # an item without an id hits, and is in no list
+    assert Counter(r["doc_id"] for r in queries.QUERIES["op4_packing"](spark, str(tmp_path)).collect()) == Counter(ids)
+    got = {r["conv_id"]: r["n_turns"] for r in queries.QUERIES["op3_chat_formatting"](spark, str(tmp_path)).collect()}
+    assert got == {None: 2, big: 2, big + 1: 2, -7: 2}
+
+
+def test_templates_read_messages_once(spark):
+    turns = spark.createDataFrame([(1, 0, "user", "hi")], "conv_id long, turn long, role string, text string")
+    loop = "{% for m in messages %}{{ m.text }}{% endfor %}"
+    assert chat.format_conversations(turns, "a" + loop).first()["formatted"] == "ahi"
+    for wrong in (loop + loop, "{% for x in messages %}" + loop + "{% endfor %}"):
+        try:
+            chat.format_conversations(turns, wrong)
+        except chat.TemplateError:
+            continue
+        raise AssertionError(wrong)
+
+
+def test_quality_sample_is_of_whole_texts_and_repeats(spark):
+    rng = np.random.default_rng(3)
+    rows = [("".join(rng.choice(list("abcdef "), 5000)) + ("!!" * 40 if i % 2 else ""), 1 - i % 2) for i in range(30)]
+    one, two = (quality.fit(spark.createDataFrame(r, "text string, label int").repartition(n)) for r, n in ((rows, 1), (rows[::-1], 5)))
+    assert all(np.array_equal(getattr(one, k), getattr(two, k)) for k in ("taps", "weight", "out"))
