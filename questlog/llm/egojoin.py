@@ -18,7 +18,7 @@ GRID_DIMS = 4
 #: Vectors that the dimensions are fitted on, about; they order the work and change no result.
 SAMPLE = 4096
 #: Vectors of an interval, and of one that is compared without further splitting.
-INTERVAL = 1024
+INTERVAL = 4096
 LEAF = 128
 _SLACK = 1e-9
 
