@@ -27,8 +27,8 @@ END = 256
 ORDERS = (2, 4)
 #: Bytes of text in a block: its words and contexts look their counts up together.
 BLOCK_BYTES = 24 << 20
-#: Characters whose symbols and contexts are laid out at once.
-PART = 3 << 20
+#: Characters whose symbols and contexts are laid out at once, to be scored and to be counted.
+PART, COUNT_PART = 2 << 20, 1 << 20
 #: Bits of a preceding byte and symbol, of a node, and of a cell (the bytes before that, and a node).
 _KEY_BITS, _NODE_BITS = 17, 16
 _CELL_BITS = 8 * (max(ORDERS) - 1) + _NODE_BITS
@@ -180,18 +180,24 @@ def _summed(cells: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> tuple[np.
 def context_counts(code: Code, texts: list[str | None], train: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For each counted predictor, the distinct cells of all texts in order, and how often a zero
     and a one followed each in training texts."""
-    found: list[list[tuple]] = [[] for _ in ORDERS]
+    none = np.zeros(0, np.int64)
+    found: list[list[tuple]] = [[(none, none, none)] for _ in ORDERS]
     lo = 0
-    for part in by_size(texts, PART):
+    for part in by_size(texts, COUNT_PART):
         starts, x = _layout(code, part)
         learned = np.repeat(train[lo : lo + len(part)], np.diff(starts))
         n = np.repeat(np.bincount(x.place[learned], minlength=len(x.first) - 1), np.diff(x.first))
         bit = x.step >> 16
         for cells, seen in zip(x.cells, found):
             seen.append(_summed(cells, n * (1 - bit), n * bit))
+            if sum(len(c[0]) for c in seen[1:]) > len(seen[0][0]) + COUNT_PART // 2:
+                seen[:] = [_merged(seen)]
         lo += len(part)
-    none = np.zeros(0, np.int64)
-    return [seen[0] if len(seen) == 1 else _summed(*(np.concatenate(c) for c in zip(*seen))) if seen else (none, none, none) for seen in found]
+    return [_merged(seen) for seen in found]
+
+
+def _merged(seen: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return _summed(*(np.concatenate(c) for c in zip(*seen)))
 
 
 def fit(pairs: np.ndarray) -> tuple[Code, np.ndarray]:
@@ -360,7 +366,9 @@ def _unpacked(payload: pa.Scalar) -> tuple[pa.Table, list[str | None], np.ndarra
     """The rows of a block without their texts, the texts, and which of them are training texts."""
     rows = pa.ipc.open_stream(payload.as_buffer()).read_all()
     texts = rows["text"].to_pylist()
-    return rows.drop_columns(["text"]), texts, ~rows["held_out"].to_numpy().astype(bool)
+    rows = rows.drop_columns(["text"])
+    pa.default_memory_pool().release_unused()
+    return rows, texts, ~rows["held_out"].to_numpy().astype(bool)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -423,7 +431,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hel
         for block, _, texts, train in _blocks(batches):
             yield counts(block, *_word_counts(texts, train))
             ends += int(train.sum())
-            for part in by_size([t for t, learned in zip(texts, train) if learned], PART):
+            for part in by_size([t for t, learned in zip(texts, train) if learned], COUNT_PART):
                 pairs += np.bincount(_symbols(part)[1], minlength=len(pairs))
         k = np.flatnonzero(pairs)
         yield counts(_PAIRS, k, pairs[k])
