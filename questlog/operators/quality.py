@@ -38,6 +38,17 @@ def outcome_counts(classified: DataFrame) -> DataFrame:
     return classified.groupBy("shard_id").agg(*[F.count_if(F.col("outcome") == o).alias(n) for o, n in (("ok", "success"), ("parse_error", "parse_failures"), ("validation_error", "process_failures"))])
 
 
+#: The name under which errors of a reason are reported.
+ERROR_METRICS = {
+    "SanitizationException": "NumSanitizationErrors", "TelemetryEventValidationException": "NumValidationErrors",
+    "TelemetryEventSerializationException": "NumSerializationErrors", "TelemetryEventParseException": "NumParseErrors",
+}
+TOTAL = "TotalErrors"
+
+
 def error_counts(errors: DataFrame) -> DataFrame:
-    """Errors by reason, and their total."""
-    return errors.rollup("reason").agg(F.count("*").alias("errors"), F.grouping("reason").alias("g")).select(F.when(F.col("g") == 1, "TotalErrors").otherwise(F.col("reason")).alias("reason"), "errors")
+    """Errors by reason with the metric that each is reported as, and their total."""
+    total = F.col("g") == 1
+    names = F.create_map(*[F.lit(x) for pair in ERROR_METRICS.items() for x in pair])
+    counted = errors.rollup("reason").agg(F.count("*").alias("errors"), F.grouping("reason").alias("g"))
+    return counted.select(F.when(total, TOTAL).otherwise(F.col("reason")).alias("reason"), F.when(total, TOTAL).otherwise(names[F.col("reason")]).alias("metric"), "errors")

@@ -224,7 +224,7 @@ def outcome_counts(s, d):
     return quality.outcome_counts(_classified(s, d))
 
 
-@query(_with(f"SELECT coalesce(reason, 'TotalErrors') AS reason, count(*) AS errors FROM ({_ERRORS}) AS x GROUP BY ROLLUP (reason)"))
+@query(_with(f"SELECT coalesce(reason, 'TotalErrors') AS reason, CASE reason WHEN 'SanitizationException' THEN 'NumSanitizationErrors' WHEN 'TelemetryEventValidationException' THEN 'NumValidationErrors' WHEN 'TelemetryEventParseException' THEN 'NumParseErrors' ELSE 'TotalErrors' END AS metric, count(*) AS errors FROM ({_ERRORS}) AS x GROUP BY ROLLUP (reason)"))
 def error_counts(s, d):
     return quality.error_counts(parse.error_records(parse.split_good_bad(_classified(s, d))[1]))
 
