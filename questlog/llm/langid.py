@@ -27,19 +27,24 @@ WIDTH = 8192
 
 @dataclass(frozen=True)
 class Model:
-    """One suffix automaton for each language, laid out in a single transition table.
+    """One suffix automaton for each language, all in one table without room for what is not there.
 
-    symbols maps a code point to 1..; 0 is any character that the samples lack, -1 no letter.
-    A transition to state 0 means that there is none: no automaton leads back to its root.
+    symbols maps a code point to 1..; 0 is any character that the samples lack. A transition of a
+    state stands at base[state] + symbol: the state in the upper 32 bits, where it leads in the
+    lower. State 0 has none and means that there is none: no automaton leads back to its root.
     """
 
     langs: list[str]
     symbols: dict[int, int]
-    width: int
-    table: np.ndarray
+    base: np.ndarray
+    packed: np.ndarray
     roots: np.ndarray
     bits: np.ndarray
 
+    def step(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        found = self.packed[self.base[state] + symbol]
+        return np.where(found >> 32 == state, found & 0xFFFFFFFF, 0)
+
 
 def suffix_automaton(symbols: np.ndarray) -> list[dict[int, int]]:
     """Transitions of the smallest automaton that accepts every substring; state 0 is the root."""
@@ -86,24 +91,50 @@ def _fold(text: str) -> np.ndarray:
     return points[keep] if letter.any() else points[:0]
 
 
+def _placed(rows: list[dict[int, int]], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bases and packed transitions of states 1.. : rows of several symbols go where they fit
+    between others, tried at some places before the table grows; rows of one fill what is left."""
+    rng = np.random.default_rng(5)
+    base = np.zeros(len(rows) + 1, np.int64)
+    packed = np.full(2 * width + sum(map(len, rows)), -1 << 32, np.int64)
+    state_of = lambda i, row: (i << 32) | np.fromiter(row.values(), np.int64, len(row))
+    several = sorted((i for i, r in enumerate(rows, 1) if len(r) > 1), key=lambda i: -len(rows[i - 1]))
+    for i in several:
+        at = np.fromiter(rows[i - 1], np.int64, len(rows[i - 1]))
+        for b in rng.integers(0, len(packed) - width, 40).tolist():
+            if (packed[b + at] < 0).all():
+                break
+        else:
+            b = len(packed) - width
+            packed = np.concatenate([packed, np.full(len(packed) // 2 + width, -1 << 32, np.int64)])
+        base[i] = b
+        packed[b + at] = state_of(i, rows[i - 1])
+    single = [i for i, r in enumerate(rows, 1) if len(r) == 1]
+    free = np.flatnonzero(packed[width:] < 0)[: len(single)] + width
+    if len(free) < len(single):
+        more = np.arange(len(packed), len(packed) + len(single) - len(free))
+        packed = np.concatenate([packed, np.full(len(more) + width, -1 << 32, np.int64)])
+        free = np.concatenate([free, more])
+    if single:
+        symbol, to = (np.array(x, np.int64) for x in zip(*[next(iter(rows[i - 1].items())) for i in single]))
+        base[single] = free - symbol
+        packed[free] = (np.array(single, np.int64) << 32) | to
+    return base, np.concatenate([packed, np.full(width, -1 << 32, np.int64)])
+
+
 def train(samples: dict[str, str]) -> Model:
     """Fit on one bounded text per language; languages without a letter are left out."""
     folded = {k: x for k in sorted(samples) if len(x := _fold(samples[k]))}
     kinds = np.unique(np.concatenate(list(folded.values()))) if folded else np.zeros(0, np.uint32)
     symbols = {int(k): i + 1 for i, k in enumerate(kinds)}
-    width, tables, roots, at = len(symbols) + 1, [], [], 1
+    rows: list[dict[int, int]] = []
+    roots = []
     for points in folded.values():
-        auto = suffix_automaton(np.searchsorted(kinds, points) + 1)
-        dense = np.zeros((len(auto), width), np.int32)
-        for s, row in enumerate(auto):
-            for c, to in row.items():
-                dense[s, c] = to + at
-        tables.append(dense)
+        at = len(rows) + 1
         roots.append(at)
-        at += len(auto)
+        rows += [{c: to + at for c, to in row.items()} for row in suffix_automaton(np.searchsorted(kinds, points) + 1)]
     bits = np.array([np.log2(len(x) + 1) for x in folded.values()])
-    whole = np.concatenate([np.zeros((1, width), np.int32), *tables]).ravel()
-    return Model(list(folded), symbols, width, whole, np.array(roots, np.int32), bits)
+    return Model(list(folded), symbols, *_placed(rows, len(symbols) + 1), np.array(roots, np.int64), bits)
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample_chars: int = SAMPLE_CHARS) -> Model:
@@ -152,17 +183,16 @@ def parse_costs(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.n
     start = (np.cumsum(sizes) - sizes)[owner] + inner * BLOCK
     length = np.minimum(sizes[owner] - inner * BLOCK, BLOCK)
     langs = len(model.langs)
-    roots = (model.roots * model.width).astype(np.int64)
     for first in range(0, len(owner), WIDTH):
         # whole texts only: a lot runs up to the end of the text that its last block is of
         lo = int(np.searchsorted(owner, owner[first])) if first else 0
         hi = len(owner) if first + WIDTH >= len(owner) else int(np.searchsorted(owner, owner[first + WIDTH]))
         if lo < hi:
-            _parse_lot(model.table, model.width, roots, codes, start[lo:hi], length[lo:hi], inner[lo:hi], owner[lo:hi], counts[:, :langs])
+            _parse_lot(model, codes, start[lo:hi], length[lo:hi], inner[lo:hi], owner[lo:hi], counts[:, :langs])
     return counts, sizes
 
 
-def _parse_lot(table: np.ndarray, width: int, roots: np.ndarray, codes: np.ndarray, start: np.ndarray, length: np.ndarray, inner: np.ndarray, owner: np.ndarray, counts: np.ndarray) -> None:
+def _parse_lot(model: Model, codes: np.ndarray, start: np.ndarray, length: np.ndarray, inner: np.ndarray, owner: np.ndarray, counts: np.ndarray) -> None:
     """Add the phrases of whole texts, given by their blocks, to counts.
 
     Every block is parsed as if a phrase began with it. Then a block that is not its text's first
@@ -170,7 +200,9 @@ def _parse_lot(table: np.ndarray, width: int, roots: np.ndarray, codes: np.ndarr
     before: from there on both agree. Where they never do, its own end changes and the next block
     is taken up again. The outcome is that of one parse of the whole text.
     """
+    roots = model.roots
     langs, blocks = len(roots), len(start)
+    opening = model.step(roots[:, None], np.arange(len(model.symbols) + 1)[None, :])  # where a phrase's first symbol leads
     begins = np.zeros((langs, BLOCK, blocks), bool)
     final = np.zeros((langs, blocks), np.int64)
     order = np.argsort(-length, kind="stable")
@@ -180,11 +212,11 @@ def _parse_lot(table: np.ndarray, width: int, roots: np.ndarray, codes: np.ndarr
     for t in range(int(n[0])):
         k = int(active[t])
         sym = codes[s[:k] + t]
-        to = table[state[:, :k] + sym]
+        to = model.step(state[:, :k], sym)
         miss = to == 0
         begins[:, t, :k] = miss
-        to = np.where(miss, table[roots[:, None] + sym], to)
-        state[:, :k] = to.astype(np.int64) * width  # after a symbol that a language lacks a phrase begins anyway
+        # after a symbol that a language lacks a phrase begins anyway
+        state[:, :k] = np.where(miss, opening[:, sym], to)
     final[:, order] = state
     begins[:, :, order] = begins.copy()
     plain = final.copy()
@@ -211,7 +243,7 @@ def _parse_lot(table: np.ndarray, width: int, roots: np.ndarray, codes: np.ndarr
             if not len(block):
                 break
             sym = codes[start[block] + t]
-            to = table[state + sym]
+            to = model.step(state, sym)
             miss = to == 0
             was = begins[lang, t, block]
             seen += miss.astype(np.int64) - was
@@ -221,8 +253,7 @@ def _parse_lot(table: np.ndarray, width: int, roots: np.ndarray, codes: np.ndarr
             if back.any():
                 final[lang[back], block[back]] = plain[lang[back], block[back]]
                 changed.append((lang[back], block[back]))
-            to = np.where(miss, table[roots[lang] + sym], to)
-            state = to.astype(np.int64) * width
+            state = np.where(miss, opening[lang, sym], to)
             lang, block, state, seen = lang[~met], block[~met], state[~met], seen[~met]
         else:
             shift[lang, block] = seen
