@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,14 @@ def cut(df: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Hand memory that has been freed back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def by_size(texts: Iterable, limit: int = 1 << 21) -> Iterator[list[str | None]]:
     """Lists of texts of about so many characters, so that what is made of one at a time stays
     small; a longer text comes alone. Missing values are None."""

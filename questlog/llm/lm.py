@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
-from questlog.llm.common import by_size, cut
+from questlog.llm.common import by_size, cut, release
 from questlog.llm.winnow import Words
 
 #: Bytes and one end of text.
@@ -28,7 +28,7 @@ ORDERS = (2, 4)
 #: Bytes of text in a block: its words and contexts look their counts up together.
 BLOCK_BYTES = 24 << 20
 #: Characters whose symbols and contexts are laid out at once, to be scored and to be counted.
-PART, COUNT_PART = 2 << 20, 1 << 20
+PART, COUNT_PART = 2 << 20, 2 << 20
 #: Bits of a preceding byte and symbol, of a node, and of a cell (the bytes before that, and a node).
 _KEY_BITS, _NODE_BITS = 17, 16
 _CELL_BITS = 8 * (max(ORDERS) - 1) + _NODE_BITS
@@ -134,6 +134,16 @@ class Layout:
     cells: list[np.ndarray]
 
 
+def _steps(code: Code, kinds: np.ndarray, place: np.ndarray | None = None) -> Layout:
+    """The layout of distinct symbols in context, numbers made of the bytes before and the key."""
+    key, seen = kinds & ((1 << _KEY_BITS) - 1), kinds >> _KEY_BITS
+    length = code.length[key]
+    first = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])
+    step = code.packed[np.repeat(code.at[key] - first[:-1], length) + np.arange(first[-1])]
+    cells = [np.repeat((seen & ((1 << 8 * (order - 1)) - 1)) << _NODE_BITS, length) | (step & 0xFFFF) for order in ORDERS]
+    return Layout(np.arange(len(kinds)) if place is None else place, first, step, cells)
+
+
 def _layout(code: Code, texts: list[str | None]) -> tuple[np.ndarray, Layout]:
     """Where each text's symbols begin, and the layout of all of them."""
     starts, key, context = _symbols(texts)
@@ -145,13 +155,7 @@ def _layout(code: Code, texts: list[str | None]) -> tuple[np.ndarray, Layout]:
     order = np.argsort(kinds)
     back = np.empty(len(order), np.int32)
     back[order] = np.arange(len(order), dtype=np.int32)
-    place, kinds = back.take(place, mode="clip"), kinds[order]
-    key, seen = kinds & ((1 << _KEY_BITS) - 1), kinds >> _KEY_BITS
-    length = code.length[key]
-    first = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])
-    step = code.packed[np.repeat(code.at[key] - first[:-1], length) + np.arange(first[-1])]
-    cells = [np.repeat((seen & ((1 << 8 * (order - 1)) - 1)) << _NODE_BITS, length) | (step & 0xFFFF) for order in ORDERS]
-    return starts, Layout(place, first, step, cells)
+    return starts, _steps(code, kinds[order], back.take(place, mode="clip"))
 
 
 def _stretch(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -180,24 +184,25 @@ def _summed(cells: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> tuple[np.
 def context_counts(code: Code, texts: list[str | None], train: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For each counted predictor, the distinct cells of all texts in order, and how often a zero
     and a one followed each in training texts."""
-    none = np.zeros(0, np.int64)
-    found: list[list[tuple]] = [[(none, none, none)] for _ in ORDERS]
+    kinds, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
     lo = 0
     for part in by_size(texts, COUNT_PART):
-        starts, x = _layout(code, part)
+        starts, key, context = _symbols(part)
+        context <<= _KEY_BITS
+        context |= key
+        del key
+        place, own = pd.factorize(context)
+        del context
         learned = np.repeat(train[lo : lo + len(part)], np.diff(starts))
-        n = np.repeat(np.bincount(x.place[learned], minlength=len(x.first) - 1), np.diff(x.first))
-        bit = x.step >> 16
-        for cells, seen in zip(x.cells, found):
-            seen.append(_summed(cells, n * (1 - bit), n * bit))
-            if sum(len(c[0]) for c in seen[1:]) > len(seen[0][0]) + COUNT_PART // 2:
-                seen[:] = [_merged(seen)]
+        n = np.bincount(place[learned], minlength=len(own))
+        del place, learned
+        at, kinds = pd.factorize(np.concatenate([kinds, own]))
+        counts = np.bincount(at, weights=np.concatenate([counts, n]), minlength=len(kinds)).astype(np.int64)
         lo += len(part)
-    return [_merged(seen) for seen in found]
-
-
-def _merged(seen: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return _summed(*(np.concatenate(c) for c in zip(*seen)))
+    x = _steps(code, kinds)
+    n = np.repeat(counts, np.diff(x.first))
+    bit = x.step >> 16
+    return [_summed(cells, n * (1 - bit), n * bit) for cells in x.cells]
 
 
 def fit(pairs: np.ndarray) -> tuple[Code, np.ndarray]:
@@ -287,7 +292,7 @@ def _mix(records: np.ndarray, way: np.ndarray, first: np.ndarray, size: np.ndarr
     points = 4 * CURVE + 1
     curve = np.tile((1 / (1 + np.exp(-(np.arange(points, dtype=np.float32) / 2 - CURVE)))).astype(np.float32), n)
     start, own = lane * points, lane << OWN_BITS
-    one, half, top = np.float32(1), np.float32(0.5), np.float32(CURVE)
+    one, half, two, top, middle = map(np.float32, (1, 0.5, 2, CURVE, 2 * CURVE + 0.5))
     total = np.zeros(n)
     active = np.searchsorted(-size, -np.arange(int(size[0])), side="left")
     for r in range(0, int(size[0]), STEPS):
@@ -297,6 +302,7 @@ def _mix(records: np.ndarray, way: np.ndarray, first: np.ndarray, size: np.ndarr
         inputs = records.take(at, mode="clip").view(np.float32).reshape(rows, k, 4)
         mark = inputs.view(np.int32)[:, :, 3].astype(np.intp)
         y = (mark & 1).astype(np.float32)
+        other = one - y
         chosen = (mark >> 1 & 127) * n + lane[:k]
         slot = (mark >> 8) + own[:k]
         said = np.ones((rows, k), np.float32)
@@ -313,17 +319,15 @@ def _mix(records: np.ndarray, way: np.ndarray, first: np.ndarray, size: np.ndarr
             d += z[:, 3]
             np.minimum(np.maximum(d, -top, out=d), top, out=d)
             p = one / (one + np.exp(-d))
-            d += top
-            d += d
-            d += half
+            d *= two
+            d += middle
             low = d.astype(np.intp)
             low += start[:k]
             f = curve.take(low, mode="clip")
             curve[low] = f + (yi - f) * np.float32(FINE_RATE)
             f += p
             f *= half
-            f -= one - yi
-            said[i, :k] = f
+            np.subtract(f, other[i, :k], out=said[i, :k])
             error = yi - p
             mine[s] = m + error * np.float32(OWN_RATE)
             error *= np.float32(RATE)
@@ -367,7 +371,7 @@ def _unpacked(payload: pa.Scalar) -> tuple[pa.Table, list[str | None], np.ndarra
     rows = pa.ipc.open_stream(payload.as_buffer()).read_all()
     texts = rows["text"].to_pylist()
     rows = rows.drop_columns(["text"])
-    pa.default_memory_pool().release_unused()
+    release()
     return rows, texts, ~rows["held_out"].to_numpy().astype(bool)
 
 
@@ -485,6 +489,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hel
         whole = tokens + 0.5 * (distinct + 1)
         lengths, n_known, base = _word_scores(texts, h[: ends_of[1]], c[: ends_of[1]], whole)
         del c, c1
+        release()
         return pa.Table.from_arrays([
             own["doc_id"], own["held_out"], pa.array(lengths + 1), pa.array(n_known + (ends > 0)),
             pa.array(np.full(len(texts), tokens, np.int64)), pa.array(base + math.log10((ends + 0.5) / whole)),
