@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from questlog.llm import chat, egojoin, langid, lm, packing, pii, quality, secrets, simhash, winnow
+from questlog.llm import chat, egojoin, langid, lm, packing, pii, quality, quartiles, secrets, simhash, turns, whitening, winnow
 from questlog.llm.common import crc_is, table
 from questlog.llm.sql import ORACLE_SQL  # noqa: F401
 
@@ -42,8 +42,8 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    return chat.digest(chat.format_conversations(turns.unionByName(more)))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digest(chat.format_conversations(rows.unionByName(more)))
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +84,21 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """deviation is null where it is no long."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return turns.audit_conversations(turns.damage(rows), rows)
+
+
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quartiles.fingerprint_neighbours(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -91,5 +106,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scans, op2_quality_classifier, op3_chat_formatting, op4_packing, op5_benchmark_decontamination, op6_embedding_near_dedup, op7_language_id, op8_pii, op9_lm_scoring, op10_simhash_near_dedup, pipeline)
+    f.__name__: f for f in (op1_secret_scans, op2_quality_classifier, op3_chat_formatting, op4_packing, op5_benchmark_decontamination, op6_embedding_near_dedup, op7_language_id, op8_pii, op9_lm_scoring, op10_simhash_near_dedup, op11_embedding_whitening, op12_conversation_repair, op13_document_fingerprints, pipeline)
 }
