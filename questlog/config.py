@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Limits:
+    """The defaults of a production deployment; DEMO has those of a demonstration."""
+
     flush_records: int = 500_000
     flush_bytes: int = 104_857_600
     flush_ms: int = 600_000

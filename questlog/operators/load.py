@@ -12,6 +12,10 @@ from questlog.schemas import EVENT_COLUMNS, NOT_NULL, WIDTHS
 KEY = ["event_timestamp", "event_id"]
 #: What a column that is not text is cast to.
 _TYPES = {c: "bigint" if "timestamp" in c else "double" for c in EVENT_COLUMNS if c not in WIDTHS}
+#: Milliseconds of a time at most, as a timestamp counts microseconds in 64 bits.
+MOST_MS = (2**63 - 1) // 1000
+#: Rows of a batch up to which its keys are sent to every task that reads history: some 20 MB.
+FEW_KEYS = 200_000
 
 
 def blank_as_null(column: Column) -> Column:
@@ -21,13 +25,16 @@ def blank_as_null(column: Column) -> Column:
 def project_event_row(lines: DataFrame, json: str = "value", errors: bool = False) -> DataFrame:
     """JSON lines to the eleven columns: missing keys and blank strings are null, times are timestamps.
 
-    A value that is no number where one belongs is null; with errors, type_errors names such
-    columns, and load_errors counts them in.
+    A value that is no number where one belongs is null, and so is a time beyond what a timestamp
+    holds (some 292,000 years); with errors, type_errors names such columns, and load_errors counts
+    them in.
     """
     parsed = lines.select(F.inline(F.array(F.from_json(json, ", ".join(f"{c} string" for c in EVENT_COLUMNS)))))
     number = lambda c: F.col(c).try_cast(_TYPES[c])
-    wrong = F.filter(F.array(*[F.when(F.col(c).isNotNull() & number(c).isNull(), F.lit(f"{c} is no {t}")) for c, t in _TYPES.items()]), lambda x: x.isNotNull())
-    columns = [(blank_as_null(F.col(c)) if c in WIDTHS else F.timestamp_millis(number(c)) if "timestamp" in c else number(c)).alias(c) for c in EVENT_COLUMNS]
+    far = lambda c: ~number(c).between(-MOST_MS, MOST_MS) if "timestamp" in c else F.lit(False)
+    error = lambda c, t: F.when(F.col(c).isNotNull() & number(c).isNull(), f"{c} is no {t}").when(far(c), f"{c} is out of range")
+    wrong = F.filter(F.array(*[error(c, t) for c, t in _TYPES.items()]), lambda x: x.isNotNull())
+    columns = [(blank_as_null(F.col(c)) if c in WIDTHS else F.timestamp_millis(F.when(~far(c), number(c))) if "timestamp" in c else number(c)).alias(c) for c in EVENT_COLUMNS]
     return parsed.select(*columns, *([wrong.alias("type_errors")] if errors else []))
 
 
@@ -97,9 +104,12 @@ def strict_key_dedupe(rows: DataFrame, keys: list[str] = KEY, first: str = "serv
     return rows.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
 
 
-def prune_history(existing: DataFrame, as_of: dt.date, months: int = 6, batch_months: list[tuple[int, int]] | None = None) -> DataFrame:
-    """History cut to the retention window, and to the months of a batch where they are known. Of a
-    table partitioned by year and month no other month is listed or read."""
+def prune_history(existing: DataFrame, as_of: dt.date, months: int = 6, batch_months: list[tuple[int, int]] | None = None, span: tuple[int, int] | None = None) -> DataFrame:
+    """History cut to the retention window, and to the months and the first and last microsecond of a
+    batch where they are known. Of a table partitioned by year and month no other month is listed or read; as its files
+    are sorted by time, of those that are read whole parts are passed over by their extremes."""
+    if span is not None:
+        existing = existing.where(F.col("event_timestamp").between(*[F.timestamp_micros(F.lit(x)) for x in span]))
     if not {"year", "month"} <= set(existing.columns):
         return retention_filter(existing, as_of, months)
     number = F.col("year") * 12 + F.col("month")
@@ -110,38 +120,66 @@ def prune_history(existing: DataFrame, as_of: dt.date, months: int = 6, batch_mo
     return retention_filter(near, as_of, months)
 
 
-def dedupe_load(rows: DataFrame, existing: DataFrame, as_of: dt.date, months: int = 6, on_error: str = "fail", batch_months: list[tuple[int, int]] | None = None) -> DataFrame:
+def matching_history(existing: DataFrame, rows: DataFrame, keys: list[str] = KEY) -> DataFrame:
+    """History cut to the keys of a batch of at most FEW_KEYS rows, by a semi-join where it is read,
+    so that a small batch never makes history travel. The caller has counted the rows."""
+    return existing.join(F.broadcast(rows.select(*keys)), keys, "left_semi")
+
+
+def batch_profile(rows: DataFrame, as_of: dt.date, months: int = 6) -> DataFrame:
+    """What a load has to know of a batch, in one pass: for each month inside the retention window,
+    and for all other rows together (year and month null), the rows that arrived, those that break
+    a rule, those outside the window, and the first and the last microsecond of those that may be loaded."""
+    first, end = _window(as_of, months)
+    t = F.col("event_timestamp")
+    fine, inside = F.size(load_errors(rows)) == 0, F.coalesce((t >= first) & (t < end), F.lit(False))
+    kept = fine & inside
+    marked = rows.select(t, fine.alias("fine"), kept.alias("kept"), *[F.when(kept, c).alias(n) for n, c in (("year", F.year(t)), ("month", F.month(t)))])
+    return marked.groupBy("year", "month").agg(
+        F.count("*").alias("copied"), F.count_if(~F.col("fine")).alias("load_errors"), F.count_if(F.col("fine") & ~F.col("kept")).alias("out_of_retention"),
+        F.min(F.when(F.col("kept"), F.unix_micros(t))).alias("first"), F.max(F.when(F.col("kept"), F.unix_micros(t))).alias("last"),
+    )
+
+
+def dedupe_load(
+    rows: DataFrame, existing: DataFrame, as_of: dt.date, months: int = 6, on_error: str = "fail",
+    batch_months: list[tuple[int, int]] | None = None, span: tuple[int, int] | None = None, batch_rows: int | None = None,
+) -> DataFrame:
     """What a load adds to the tables, for all its months at once; nothing when it is run again.
 
     Rows that break a rule of load_errors fail the load, or are left out with on_error="quarantine";
     so no key is null. Retention comes before the shuffle, so that times of zero never reach it. One
-    layout by key serves both the distinct rows and the join against history, which is pruned.
+    layout by key serves both the distinct rows and the join against history, which is pruned by
+    what is known of the batch; where its number of rows is known and small, also by its keys.
     """
     good, _ = split_load_errors(rows, on_error)
     spread = retention_filter(good, as_of, months).repartition(*KEY)
-    fresh = anti_existing(distinct_rows(spread), prune_history(existing, as_of, months, batch_months))
-    return sorted_insert(with_month(fresh))
+    history = prune_history(existing, as_of, months, batch_months, span)
+    if batch_rows is not None and batch_rows <= FEW_KEYS:
+        history = matching_history(history, retention_filter(good, as_of, months))
+    return sorted_insert(with_month(anti_existing(distinct_rows(spread), history)))
 
 
 def load_audit(rows: DataFrame, existing: DataFrame, as_of: dt.date, months: int = 6, files: int | None = None) -> DataFrame:
-    """Copied and inserted rows, duplicates ignored as the difference, and how that splits; the
-    number of files where it is given.
+    """Copied and inserted rows, duplicates ignored as the difference, and how that splits into rows
+    that break a rule, rows outside the window and true duplicates; months of all rows; the number
+    of files where it is given.
 
-    One pass: equal rows come together with their number, and each meets the keys of history once.
-    Rows that break a rule count as copied and as errors, and are not inserted.
+    Only rows that may be loaded are spread, by key, and meet history there as in dedupe_load; the
+    others are counted where they are read, month by month.
     """
     columns = [c for c in rows.columns if c != "type_errors"]
     first, end = _window(as_of, months)
     t = F.col("event_timestamp")
-    marked = rows.select(*columns, (F.size(load_errors(rows)) > 0).alias("wrong"), F.coalesce((t >= first) & (t < end), F.lit(False)).alias("kept"))
-    each = marked.groupBy(*columns, "wrong", "kept").agg(F.count("*").alias("n"))
-    known = prune_history(existing, as_of, months).select(*KEY).distinct().withColumn("known", F.lit(True))
-    one = each.join(known, KEY, "left").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("copied"),
-        F.count_if(F.col("kept") & ~F.col("wrong") & F.col("known").isNull()).alias("inserted"),
-        F.coalesce(F.sum(F.when(F.col("kept"), F.col("n"))), F.lit(0)).alias("kept"),
-        F.coalesce(F.sum(F.when(F.col("wrong"), F.col("n"))), F.lit(0)).alias("load_errors"),
-        F.countDistinct(F.trunc("event_timestamp", "month")).alias("months"),
+    marked = rows.select(*columns, (F.size(load_errors(rows)) > 0).alias("wrong"), F.coalesce((t >= first) & (t < end), F.lit(False)).alias("inside"))
+    counted = marked.groupBy(F.trunc(t, "month").alias("m")).agg(F.count("*").alias("n"), F.count_if("wrong").alias("wrong"), F.count_if(~F.col("wrong") & ~F.col("inside")).alias("outside"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    arrived = counted.agg(total("n").alias("copied"), total("outside").alias("out_of_retention"), total("wrong").alias("load_errors"), F.count("m").alias("months"))
+    spread = marked.where("inside and not wrong").select(*columns).repartition(*KEY)
+    inserted = anti_existing(distinct_rows(spread), prune_history(existing, as_of, months)).agg(F.count("*").alias("inserted"))
+    duplicates = F.col("copied") - F.col("inserted")
+    out = arrived.crossJoin(F.broadcast(inserted)).select(  # one row each
+        "copied", "inserted", duplicates.alias("duplicates_ignored"), "out_of_retention",
+        (duplicates - F.col("out_of_retention") - F.col("load_errors")).alias("true_duplicates"), "load_errors", "months",
     )
-    out = one.select("copied", "inserted", (F.col("copied") - F.col("inserted")).alias("duplicates_ignored"), (F.col("copied") - F.col("kept")).alias("out_of_retention"), (F.col("kept") - F.col("inserted")).alias("true_duplicates"), "load_errors", "months")
     return out if files is None else out.withColumn("files", F.lit(files).cast("long"))

@@ -17,6 +17,7 @@ from questlog.plans.adapter import RAW_SQL, raw_records
 from questlog.schemas import CONTRACT_PATTERNS, CONTRACT_REQUIRED, EVENT_COLUMNS, REQUIRED, WIDTHS
 from questlog.session import prepare, shared_folder
 from questlog.sources import archive
+from questlog.sources.ledger import Ledger
 from questlog.streaming import jobs
 
 AS_OF = dt.date(2024, 1, 31)
@@ -247,18 +248,29 @@ def epoch_ms_to_ts(s, d):
     return _table(s, d, "events").select("event_id", F.unix_millis(t).alias("ms"), F.dayofmonth(t).alias("day"), F.hour(t).alias("hour"))
 
 
-_ROUGH = """rough AS (SELECT *, CASE WHEN i % 11 = 0 THEN 'position_x is no double' END AS e1, CASE WHEN i % 13 = 0 THEN 'event_timestamp is no bigint' END AS e2,
- CASE WHEN i % 17 = 0 THEN 'event_id is null' END AS e3, CASE WHEN i % 13 = 0 THEN 'event_timestamp is null' END AS e4 FROM e)"""
+_ROUGH = """rough AS (SELECT *, CASE WHEN i % 11 = 0 THEN 'position_x is no double' END AS e1, CASE WHEN i % 13 = 0 THEN 'event_timestamp is no bigint' WHEN i % 19 = 0 THEN 'event_timestamp is out of range' END AS e2,
+ CASE WHEN i % 17 = 0 THEN 'event_id is null' END AS e3, CASE WHEN i % 13 = 0 OR i % 19 = 0 THEN 'event_timestamp is null' END AS e4 FROM e),
+fine AS (SELECT * FROM rough WHERE coalesce(e1, e2, e3, e4) IS NULL),
+fine_kept AS (SELECT * FROM fine WHERE event_timestamp >= epoch_ms(TIMESTAMP '2023-07-01') AND event_timestamp < epoch_ms(TIMESTAMP '2024-02-01'))"""
+
+
+def _rough_lines(s, d):
+    """Archived lines of which some have been spoilt: positions and times that are no numbers, times
+    that no timestamp holds, missing ids."""
+    lines = parse.split_good_bad(_classified(s, d))[0].select("partition_key", "processed_json", F.substring("partition_key", 3, 20).cast("long").alias("i"))
+    v, i = F.regexp_replace("processed_json", r"\n\z", ""), F.col("i")
+    time = lambda x: F.regexp_replace(v, r'"event_timestamp":[0-9]+', f'"event_timestamp":{x}')
+    v = F.when(i % 11 == 0, F.regexp_replace(F.regexp_replace(v, r'"position_x":[^,}]*,?', ""), r"^\{", '{"position_x":"asdf",')).otherwise(v)
+    v = F.when(i % 13 == 0, time('"1.5e"')).when(i % 38 == 0, time(10**17)).when(i % 19 == 0, time(2**63 - 1)).otherwise(v)
+    v = F.when(i % 17 == 0, F.regexp_replace(v, r'"event_id":"[^"]*"', '"event_id":"  "')).otherwise(v)
+    return lines.select("partition_key", v.alias("value"))
 
 
 def _rough(s, d):
-    """Rows of archived lines of which some have been spoilt: positions and times that are no numbers, missing ids."""
-    lines = parse.split_good_bad(_classified(s, d))[0].select("processed_json", F.substring("partition_key", 3, 20).cast("long").alias("i"))
-    v = F.col("processed_json")
-    v = F.when(F.col("i") % 11 == 0, F.regexp_replace(F.regexp_replace(v, r'"position_x":[^,}]*,?', ""), r"^\{", '{"position_x":"asdf",')).otherwise(v)
-    v = F.when(F.col("i") % 13 == 0, F.regexp_replace(v, r'"event_timestamp":[0-9]+', '"event_timestamp":"1.5e"')).otherwise(v)
-    v = F.when(F.col("i") % 17 == 0, F.regexp_replace(v, r'"event_id":"[^"]*"', '"event_id":"  "')).otherwise(v)
-    return load.project_event_row(lines.select(v.alias("value")), errors=True)
+    """Rows of spoilt lines, as a load sees them: the lines have been written before."""
+    path = _work(s)
+    _rough_lines(s, d).select("value").write.parquet(path)
+    return load.project_event_row(s.read.schema("value string").parquet(path), errors=True)
 
 
 @query(f"WITH {BASE_SQL}, {_ROUGH} SELECT error, count(*) AS events FROM (SELECT unnest([e1, e2, e3, e4]) AS error FROM rough) AS x WHERE error IS NOT NULL GROUP BY 1")
@@ -267,7 +279,7 @@ def load_errors(s, d):
     return bad.select(F.explode("errors").alias("error")).groupBy("error").agg(F.count("*").alias("events"))
 
 
-@query(f"WITH {BASE_SQL}, {_ROUGH} SELECT count(*) AS inserted, CAST(0 AS BIGINT) AS inserted_again FROM (SELECT DISTINCT {_COLS} FROM rough WHERE coalesce(e1, e2, e3, e4) IS NULL AND event_timestamp >= epoch_ms(TIMESTAMP '2023-07-01') AND event_timestamp < epoch_ms(TIMESTAMP '2024-02-01')) AS x")
+@query(f"WITH {BASE_SQL}, {_ROUGH} SELECT count(*) AS inserted, CAST(0 AS BIGINT) AS inserted_again FROM (SELECT DISTINCT {_COLS} FROM fine_kept) AS x")
 def dedupe_load_twice(s, d):
     """Spoilt rows are left out; the second load of the same lines inserts nothing."""
     path, rows = _work(s), _rough(s, d)
@@ -324,11 +336,13 @@ def strict_key_dedupe_lineitem(s, d):
     return load.strict_key_dedupe(rows, ["l_orderkey", "l_linenumber"], "l_shipdate").withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
 
 
-@query(_with("""SELECT (SELECT count(*) FROM rows_) AS copied, (SELECT count(*) FROM loaded) AS inserted, (SELECT count(*) FROM rows_) - (SELECT count(*) FROM loaded) AS duplicates_ignored,
- (SELECT count(*) FROM rows_) - (SELECT count(*) FROM kept) AS out_of_retention, (SELECT count(*) FROM kept) - (SELECT count(*) FROM loaded) AS true_duplicates, CAST(0 AS BIGINT) AS load_errors,
- (SELECT count(DISTINCT date_trunc('month', make_timestamp(event_timestamp * 1000))) FROM rows_) AS months"""))
+@query(f"""WITH {BASE_SQL}, {_ROUGH}, added AS (SELECT DISTINCT {_COLS} FROM fine_kept r WHERE NOT EXISTS (SELECT 1 FROM history h WHERE h.event_timestamp = r.event_timestamp AND h.event_id = r.event_id)),
+ n AS (SELECT (SELECT count(*) FROM rough) AS copied, (SELECT count(*) FROM added) AS inserted, (SELECT count(*) FROM fine) AS fine, (SELECT count(*) FROM fine_kept) AS kept)
+ SELECT copied, inserted, copied - inserted AS duplicates_ignored, fine - kept AS out_of_retention, kept - inserted AS true_duplicates, copied - fine AS load_errors,
+ (SELECT count(DISTINCT date_trunc('month', make_timestamp(event_timestamp * 1000))) FROM rough WHERE e4 IS NULL) AS months FROM n""")
 def load_audit(s, d):
-    return load.load_audit(_rows(s, d), _history(s, d), AS_OF)
+    """Over spoilt rows: what breaks a rule is no duplicate."""
+    return load.load_audit(_rough(s, d), _history(s, d), AS_OF)
 
 
 # --- heat map
@@ -595,13 +609,31 @@ def list_month_partitions(s, d):
     return lifecycle.list_month_partitions(s, path).select("year", "month")
 
 
-@query("SELECT CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month, count(*) AS orders FROM orders WHERE o_orderdate >= DATE '1998-01-01' GROUP BY 1, 2")
-def roll_month_tables(s, d):
-    """Partitions older than the window are dropped; what is left is counted."""
+def _catalogued(s, d) -> str:
+    """Orders as a catalogued table by month, with a folder of its own."""
     name = f"orders_{uuid.uuid4().hex}"
     _orders(s, d).write.partitionBy("year", "month").option("path", _work(s)).saveAsTable(name)
-    lifecycle.roll_month_tables(s, name, dt.date(1998, 6, 15))
-    return s.table(name).groupBy("year", "month").agg(F.count("*").alias("orders"))
+    return name
+
+
+def _left(s, name: str, found: DataFrame, *views: str) -> DataFrame:
+    """A result that needs the table no more; the table leaves the catalogue."""
+    path = _work(s)
+    found.write.parquet(path)
+    for v in views:
+        s.sql(f"DROP VIEW {v}")
+    s.sql(f"DROP TABLE {name}")
+    return s.read.schema(found.schema).parquet(path)
+
+
+@query("SELECT CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month, count(*) AS orders FROM orders WHERE o_orderdate >= DATE '1998-01-01' AND strftime(o_orderdate, '%Y%m') <> '199807' GROUP BY 1, 2")
+def roll_month_tables(s, d):
+    """Next month holds rows before, and is empty after; months older than the window are dropped.
+    The view that the roll refreshes is counted."""
+    name = _catalogued(s, d)
+    lifecycle.refresh_union_view(s, name, f"all_{name}")
+    lifecycle.roll_month_tables(s, name, dt.date(1998, 6, 15), view=f"all_{name}")
+    return _left(s, name, s.table(f"all_{name}").groupBy("year", "month").agg(F.count("*").alias("orders")), f"all_{name}")
 
 
 @query("SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month FROM orders WHERE year(o_orderdate) = 1997 AND month(o_orderdate) IN (1, 2)")
@@ -612,6 +644,35 @@ def compact_month(s, d):
     return lifecycle.union_months([s.read.parquet(p) for p in done.values()]).select("o_orderkey", "year", "month")
 
 
+@query("SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month FROM orders")
+def swap_compacted_months(s, d):
+    """The whole table, read after two of its months have been compacted and swapped in, and the
+    folders of before removed; a month that is not there fails alone."""
+    name = _catalogued(s, d)
+    done = lifecycle.swap_compacted_months(s, name, [(1997, 1), (1890, 1), (1997, 2)])
+    lifecycle.discard_folders(s, name, [x for x in done.values() if not x.startswith("failed")])
+    return _left(s, name, s.table(name).select("o_orderkey", "year", "month"))
+
+
+@query("SELECT CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month, count(*) AS rows FROM orders GROUP BY 1, 2")
+def analyze_months(s, d):
+    """Rows of each month as the catalogue has them after compaction and ANALYZE."""
+    name = _catalogued(s, d)
+    lifecycle.swap_compacted_months(s, name, [(1997, 1), (1997, 2)])
+    lifecycle.analyze_months(s, name, ["o_orderkey", "event_type"])
+    return _left(s, name, lifecycle.catalogue_stats(s, name).select("year", "month", "rows"))
+
+
+@query("SELECT 'o_orderkey' AS \"column\", CAST(0 AS BIGINT) AS nulls, CAST(min(o_orderkey) AS VARCHAR) AS least, CAST(max(o_orderkey) AS VARCHAR) AS greatest FROM orders UNION ALL SELECT 'event_timestamp', 0, strftime(min(o_orderdate), '%Y-%m-%d'), strftime(max(o_orderdate), '%Y-%m-%d') FROM orders")
+def analyze_columns(s, d):
+    """Extremes and nulls of columns as the catalogue has them."""
+    name = _catalogued(s, d)
+    lifecycle.analyze_months(s, name, ["o_orderkey", "event_timestamp"], [])
+    found = lifecycle.catalogue_column_stats(s, name, ["o_orderkey", "event_timestamp"])
+    day = lambda c: F.when(F.col("column") == "event_timestamp", F.left(c, F.lit(10))).otherwise(F.col(c)).alias(c)
+    return _left(s, name, found.select("column", "nulls", day("least"), day("greatest")))
+
+
 @query("SELECT CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month, 'event_type' AS \"column\", count(*) AS rows, CAST(0 AS BIGINT) AS nulls, count(DISTINCT o_orderpriority) AS \"distinct\", min(o_orderpriority) AS least, max(o_orderpriority) AS greatest FROM orders GROUP BY 1, 2")
 def table_stats(s, d):
     return lifecycle.table_stats(_orders(s, d), ["event_type"])
@@ -619,10 +680,10 @@ def table_stats(s, d):
 
 # --- streams: what each leaves behind
 
-def _stream(s, d):
+def _stream(s, d, max_per_trigger: int | None = None):
     source = _work(s)
     raw_records(s, d).write.parquet(source)
-    return archive.read_raw_stream(s, source)
+    return archive.read_raw_stream(s, source, max_per_trigger=max_per_trigger)
 
 
 @query(_with("SELECT 'good' AS branch, count(*) AS events FROM c WHERE outcome = 'ok' UNION ALL SELECT 'bad', count(*) FROM c WHERE outcome <> 'ok' OR sanitized <> ''"))
@@ -633,17 +694,55 @@ def stream_ingest(s, d):
     return count(good, "good").unionByName(count(bad, "bad"))
 
 
-@query(_with(f"SELECT DISTINCT {_COLS}, {_MONTH} FROM kept"))
-def stream_load(s, d):
+@query(_with("SELECT count(*) AS records, count(*) FILTER (outcome = 'ok') AS ok, count(*) FILTER (outcome = 'parse_error') AS parse_errors, count(*) FILTER (outcome = 'validation_error') AS validation_errors, count(*) FILTER (sanitized <> '') AS sanitized, max(1706745600000 - arrival_ms) AS millis_behind FROM c"))
+def stream_ingest_metrics(s, d):
+    """What each batch was observed to hold while it was archived, added up."""
+    metrics_path = _work(s)
+    jobs.stream_ingest(_stream(s, d, 2), _work(s), _work(s), _work(s), metrics_path=metrics_path, now_ms=1_706_745_600_000).awaitTermination()
+    total = [F.sum(c).alias(c) for c in ("records", "ok", "parse_errors", "validation_errors", "sanitized")]
+    return s.read.parquet(metrics_path).agg(*total, F.max("millis_behind").alias("millis_behind"))
+
+
+def _loaded(s, d) -> tuple[str, str]:
     """Two runs of several batches each; the second reads files that repeat all lines, and adds nothing.
     Records of an event stand in one file, since a load takes later copies only together with the first."""
-    lines, table, state = _work(s), _work(s), _work(s)
-    good = parse.split_good_bad(_classified(s, d))[0].select("partition_key", F.regexp_replace("processed_json", r"\n\z", "").alias("value"))
+    lines, table, state, errors = _work(s), _work(s), _work(s), _work(s)
+    rough = _rough_lines(s, d)
     for _ in range(2):
-        good.repartition(3, "partition_key").select("value").write.mode("append").text(lines)
+        rough.repartition(2, "partition_key").select("value").write.mode("append").text(lines)
         stream = s.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(lines)
-        jobs.stream_load(stream, table, AS_OF, state).awaitTermination()
-    return _flat(s.read.parquet(table))
+        jobs.stream_load(stream, table, lambda: AS_OF, state, on_error="quarantine", errors_path=errors).awaitTermination()
+    return table, errors
+
+
+@query(f"WITH {BASE_SQL}, {_ROUGH} SELECT DISTINCT {_COLS}, {_MONTH} FROM fine_kept")
+def stream_load(s, d):
+    """Of spoilt lines those that break no rule."""
+    return _flat(s.read.parquet(_loaded(s, d)[0]))
+
+
+@query(f"""WITH {BASE_SQL}, {_ROUGH}, n AS (SELECT 2 * (SELECT count(*) FROM rough) AS copied, (SELECT count(*) FROM (SELECT DISTINCT {_COLS} FROM fine_kept)) AS inserted, 2 * (SELECT count(*) FROM fine) AS fine, 2 * (SELECT count(*) FROM fine_kept) AS kept)
+ SELECT copied, inserted, copied - fine AS load_errors, fine - kept AS out_of_retention, kept - inserted AS true_duplicates, copied - fine AS quarantined FROM n""")
+def load_ledger(s, d):
+    """What the loads of a table have entered in its ledger, added up, and the rows kept apart."""
+    table, errors = _loaded(s, d)
+    total = Ledger(s, table).entries().agg(*[F.sum(c).alias(c) for c in ("copied", "inserted", "load_errors", "out_of_retention", "true_duplicates")])
+    return total.crossJoin(F.broadcast(s.read.parquet(errors).agg(F.count("*").alias("quarantined"))))  # one row each
+
+
+@query(f"WITH {BASE_SQL}, {_ROUGH} SELECT DISTINCT event_timestamp, event_id FROM fine_kept")
+def stream_load_pointers(s, d):
+    """Lines in twelve files; a stream of their pointers, each twice, a bad one and one of a file that is missing,
+    becomes manifests of five files at most. Copies of an event in later files are left out, so keys are compared."""
+    lines, pointers, table, errors = _work(s), _work(s), _work(s), _work(s)
+    _rough_lines(s, d).repartition(12).select("value").write.text(lines)
+    named = archive.file_pointers(archive.written_files(s, lines)).select("filename", "pointer")
+    more = s.createDataFrame([("a", '{"file":1}'), (f"{lines}/part-none.txt", f'{{"filename":"{lines}/part-none.txt"}}')], "filename string, pointer string")
+    for _ in range(2):
+        named.unionByName(more).select(F.col("filename").alias("sequence_number"), "pointer").coalesce(1).write.mode("append").parquet(pointers)
+    stream = s.readStream.schema("sequence_number string, pointer string").option("maxFilesPerTrigger", 1).parquet(pointers)
+    jobs.stream_load_pointers(stream, table, lambda: AS_OF, _work(s), on_error="quarantine", errors_path=errors, mandatory=False, limits=Limits(load_files=5)).awaitTermination()
+    return _flat(s.read.parquet(table).select("event_timestamp", "event_id")).distinct()
 
 
 @query(_with("SELECT DISTINCT partition_key FROM raw"))
@@ -671,8 +770,3 @@ def stream_lag(s, d):
     path = _work(s)
     jobs.stream_lag_to(_stream(s, d), path, _work(s), now_ms=1_706_745_600_000).awaitTermination()
     return s.read.parquet(path).groupBy("shard_id").agg(F.max("millis_behind").alias("millis_behind"))
-
-
-#: Earlier names of queries that read their whole tables.
-for _old, _name in {"hex_encode_whole_text": "hex_encode_text", "blank_as_null_whole_text": "blank_as_null", "replay_jsonl_all": "replay_jsonl"}.items():
-    QUERIES[_old], ORACLE_SQL[_old] = QUERIES[_name], ORACLE_SQL[_name]

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {"spark.sql.session.timeZone": "UTC", "spark.sql.mapKeyDedupPolicy": "LAST_WIN"}
 
@@ -26,3 +27,13 @@ def shared_folder(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """A frame written once in the shared folder and read again: what follows finds the same rows,
+    and a lost executor costs no more than reading them. Such tables lie in one folder for each
+    application, which may be deleted once its results are written."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/questlog-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -94,6 +94,21 @@ def _exists(spark: SparkSession, url: str) -> bool:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
+def manifest_of(files: list[str], mandatory: bool = True) -> str:
+    """A manifest of named files, in their order."""
+    return json.dumps({"entries": [{"url": f, "mandatory": mandatory} for f in files]})
+
+
+def write_manifest(spark: SparkSession, manifest: str, path: str) -> None:
+    """One manifest as a text of one line, in place of what a try before has left."""
+    spark.createDataFrame([(manifest,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def missing_files(spark: SparkSession, files: list[str]) -> list[str]:
+    """Of the files of one load, a bounded number, those that are not there."""
+    return [f for f in files if not _exists(spark, f)]
+
+
 def load_from_manifest(spark: SparkSession, manifest: str) -> DataFrame:
     """Lines of exactly the files that a manifest lists, a bounded number; a mandatory one that is
     missing fails the read, another one is passed over."""
