@@ -76,7 +76,7 @@ def _last_starts(following: np.ndarray, own: int) -> np.ndarray:
 def _with_next_block(sized: DataFrame, block: int) -> DataFrame:
     """Each record in its block, and in the one before as what comes after it."""
     own = F.floor(F.col("place") / block)
-    return sized.select("shard_id", "place", "us", "size", F.explode(F.array(own, own - 1)).alias("block")).where("block >= 0")
+    return sized.select("shard", "place", "us", "size", F.explode(F.array(own, own - 1)).alias("block")).where("block >= 0")
 
 
 def _split(part: pd.DataFrame, block: int) -> tuple[pd.DataFrame, int, int]:
@@ -100,10 +100,12 @@ def flush_batches(records: DataFrame, limits: Limits = Limits()) -> DataFrame:
     sized = records.select("shard_id", "sequence_number", F.unix_micros("arrival_ts").alias("us"), F.coalesce(F.octet_length("data"), F.lit(0)).cast("long").alias("size"))
     if limits.flush_records > MOST_BLOCK:
         return _shown(_cut_in_order(sized, limits))
-    numbered = written(number_rows(sized, ["shard_id"], ["sequence_number", "us"]))
+    shard = F.coalesce(F.concat(F.lit("="), F.col("shard_id").cast("string")), F.lit(""))  # one that equals itself where the id is null
+    numbered = written(number_rows(sized.withColumn("shard", shard), ["shard"], ["sequence_number", "us"]))
     block = max(LEAST_BLOCK, limits.flush_records)
     blocks = 1 + (numbered.agg(F.max("place")).first()[0] or 0) // block
-    first = numbered.select("shard_id").distinct().select("shard_id", F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("start"))
+    zero = F.lit(0).cast("long")
+    first = numbered.select("shard").distinct().select("shard", zero.alias("block"), zero.alias("start"))
     starts = written(first.unionByName(_block_starts(numbered, limits, block, blocks))) if blocks > 1 else first
 
     def cut(_, parts: pd.DataFrame, begun: pd.DataFrame) -> pd.DataFrame:
@@ -114,15 +116,14 @@ def flush_batches(records: DataFrame, limits: Limits = Limits()) -> DataFrame:
             places.append(begin)
             begin = int(following[begin])
         inside = np.searchsorted(np.array(places, np.int64), np.arange(own), "right")
-        return part.iloc[:own][["shard_id", "place", "block"]].assign(inside=inside, begun=len(places))
+        return part.iloc[:own][["shard", "place", "block"]].assign(inside=inside, begun=len(places))
 
-    key = ["shard_id", "block"]
-    cuts = written(_with_next_block(numbered, block).groupBy(*key).cogroup(starts.groupBy(*key)).applyInPandas(cut, "shard_id string, place long, block long, inside long, begun long"))
-    before = Window.partitionBy("shard_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    key = ["shard", "block"]
+    cuts = written(_with_next_block(numbered, block).groupBy(*key).cogroup(starts.groupBy(*key)).applyInPandas(cut, "shard string, place long, block long, inside long, begun long"))
+    before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     earlier = cuts.groupBy(*key).agg(F.max("begun").alias("n")).select(*key, (F.coalesce(F.sum("n").over(before), F.lit(0)) - 1).alias("earlier"))
-    same = lambda a, b, *on: [a[c].eqNullSafe(b[c]) for c in on]
-    batches = cuts.join(earlier, same(cuts, earlier, *key)).select(cuts["shard_id"], "place", (F.col("earlier") + F.col("inside")).alias("batch"))
-    return _shown(numbered.join(batches, same(numbered, batches, "shard_id", "place")).select(numbered["shard_id"], "sequence_number", "us", "size", "batch"))
+    batches = cuts.join(earlier, key).select("shard", "place", (F.col("earlier") + F.col("inside")).alias("batch"))
+    return _shown(numbered.join(batches, ["shard", "place"]))
 
 
 def _shown(cut: DataFrame) -> DataFrame:
@@ -130,7 +131,7 @@ def _shown(cut: DataFrame) -> DataFrame:
 
 
 def _block_starts(numbered: DataFrame, limits: Limits, block: int, blocks: int) -> DataFrame:
-    """The first batch that begins in each block but the shards' first ones: (shard_id, block, start)."""
+    """The first batch that begins in each block but the shards' first ones: (shard, block, start)."""
 
     def lead(part: pd.DataFrame) -> pd.DataFrame:
         part, at, own = _split(part, block)
@@ -140,19 +141,17 @@ def _block_starts(numbered: DataFrame, limits: Limits, block: int, blocks: int)
         start = following[under_way]
         reached = start < len(part)  # else the shard ends
         under_way, start = under_way[reached], start[reached]
-        return pd.DataFrame({"shard_id": part["shard_id"].iloc[0], "block": part["block"].iloc[0], "at": under_way + at, "start": start + at, "to": last[start] + at, "root": last[0] + at})
+        return pd.DataFrame({"shard": part["shard"].iloc[0], "block": part["block"].iloc[0], "at": under_way + at, "start": start + at, "to": last[start] + at, "root": last[0] + at})
 
-    jumps = written(_with_next_block(numbered, block).groupBy("shard_id", "block").applyInPandas(lead, "shard_id string, block long, at long, start long, to long, root long"))
-    known = jumps.where("block = 0 and at = root").select("shard_id", "at")
-    jump, steps = jumps.select("shard_id", "at", "to"), 1
-    on = lambda a, b, left: a["shard_id"].eqNullSafe(b["shard_id"]) & (a[left] == b["at"])
+    jumps = written(_with_next_block(numbered, block).groupBy("shard", "block").applyInPandas(lead, "shard string, block long, at long, start long, to long, root long"))
+    known = jumps.where("block = 0 and at = root").select("shard", "at")
+    jump, steps = jumps.select("shard", "at", "to"), 1
     while steps < blocks:  # known: what follows from the root in fewer than so many steps
-        reached = known.join(jump, on(known, jump, "at")).select(known["shard_id"], jump["to"].alias("at"))
-        known = written(known.unionByName(reached))
-        further = jump.select("shard_id", F.col("at").alias("from"), "to")
-        jump, steps = written(further.join(jump, on(further, jump, "to")).select(further["shard_id"], further["from"].alias("at"), jump["to"])), 2 * steps
-    found = jumps.join(known, on(jumps, known, "at"), "left_semi")
-    return found.select("shard_id", (F.col("block") + 1).alias("block"), "start")
+        known = written(known.unionByName(known.join(jump, ["shard", "at"]).select("shard", F.col("to").alias("at"))))
+        further = jump.select("shard", F.col("to").alias("further"), F.col("at").alias("from"))
+        after = jump.select("shard", F.col("at").alias("further"), "to")
+        jump, steps = written(further.join(after, ["shard", "further"]).select("shard", F.col("from").alias("at"), "to")), 2 * steps
+    return jumps.join(known, ["shard", "at"], "left_semi").select("shard", (F.col("block") + 1).alias("block"), "start")
 
 
 def _cut_in_order(sized: DataFrame, limits: Limits) -> DataFrame:

@@ -165,20 +165,28 @@ def load_audit(rows: DataFrame, existing: DataFrame, as_of: dt.date, months: int
     that break a rule, rows outside the window and true duplicates; months of all rows; the number
     of files where it is given.
 
-    Only rows that may be loaded are spread, by key, and meet history there as in dedupe_load; the
-    others are counted where they are read, month by month.
+    Rows are read and spread once. Those that may be loaded lie by their keys, equal ones together
+    with their number, and meet the keys of history there; of the others only what they are counts
+    as travels, from each task to a place of its own.
     """
     columns = [c for c in rows.columns if c != "type_errors"]
     first, end = _window(as_of, months)
     t = F.col("event_timestamp")
     marked = rows.select(*columns, (F.size(load_errors(rows)) > 0).alias("wrong"), F.coalesce((t >= first) & (t < end), F.lit(False)).alias("inside"))
-    counted = marked.groupBy(F.trunc(t, "month").alias("m")).agg(F.count("*").alias("n"), F.count_if("wrong").alias("wrong"), F.count_if(~F.col("wrong") & ~F.col("inside")).alias("outside"))
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
-    arrived = counted.agg(total("n").alias("copied"), total("outside").alias("out_of_retention"), total("wrong").alias("load_errors"), F.count("m").alias("months"))
-    spread = marked.where("inside and not wrong").select(*columns).repartition(*KEY)
-    inserted = anti_existing(distinct_rows(spread), prune_history(existing, as_of, months)).agg(F.count("*").alias("inserted"))
+    fine = F.col("inside") & ~F.col("wrong")
+    place = F.when(fine, F.lit(-1)).otherwise(F.spark_partition_id()).alias("place")
+    spread = marked.select(*[F.when(fine, F.col(c)).alias(c) for c in columns], "wrong", "inside", F.trunc(t, "month").alias("m"), place).repartition(*KEY, "place")
+    each = spread.groupBy(*columns, "wrong", "inside", "m", "place").agg(F.count("*").alias("n"))
+    # no literal, which the planner would take out of the join and then deal all rows out again
+    here = F.when(F.col("event_id").isNotNull(), -1).otherwise(-2).alias("place")
+    known = prune_history(existing, as_of, months).select(*KEY, here).repartition(*KEY, "place").groupBy(*KEY, "place").agg(F.lit(True).alias("known"))
+    counted = each.join(known, [*KEY, "place"], "left").groupBy("m").agg(
+        F.sum("n").alias("copied"), F.sum(F.when(F.col("wrong"), F.col("n"))).alias("load_errors"), F.sum(F.when(~F.col("wrong") & ~F.col("inside"), F.col("n"))).alias("out_of_retention"),
+        F.count_if(fine & F.col("known").isNull()).alias("inserted"),
+    )
+    total = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("copied", "inserted", "out_of_retention", "load_errors")]
     duplicates = F.col("copied") - F.col("inserted")
-    out = arrived.crossJoin(F.broadcast(inserted)).select(  # one row each
+    out = counted.agg(*total, F.count("m").alias("months")).select(
         "copied", "inserted", duplicates.alias("duplicates_ignored"), "out_of_retention",
         (duplicates - F.col("out_of_retention") - F.col("load_errors")).alias("true_duplicates"), "load_errors", "months",
     )

@@ -257,7 +257,9 @@ fine_kept AS (SELECT * FROM fine WHERE event_timestamp >= epoch_ms(TIMESTAMP '20
 def _rough_lines(s, d):
     """Archived lines of which some have been spoilt: positions and times that are no numbers, times
     that no timestamp holds, missing ids."""
-    lines = parse.split_good_bad(_classified(s, d))[0].select("partition_key", "processed_json", F.substring("partition_key", 3, 20).cast("long").alias("i"))
+    path = _work(s)
+    parse.split_good_bad(_classified(s, d))[0].select("partition_key", "processed_json").write.parquet(path)
+    lines = s.read.schema("partition_key string, processed_json string").parquet(path).withColumn("i", F.substring("partition_key", 3, 20).cast("long"))
     v, i = F.regexp_replace("processed_json", r"\n\z", ""), F.col("i")
     time = lambda x: F.regexp_replace(v, r'"event_timestamp":[0-9]+', f'"event_timestamp":{x}')
     v = F.when(i % 11 == 0, F.regexp_replace(F.regexp_replace(v, r'"position_x":[^,}]*,?', ""), r"^\{", '{"position_x":"asdf",')).otherwise(v)
@@ -267,10 +269,8 @@ def _rough_lines(s, d):
 
 
 def _rough(s, d):
-    """Rows of spoilt lines, as a load sees them: the lines have been written before."""
-    path = _work(s)
-    _rough_lines(s, d).select("value").write.parquet(path)
-    return load.project_event_row(s.read.schema("value string").parquet(path), errors=True)
+    """Rows of spoilt lines, as a load sees them."""
+    return load.project_event_row(_rough_lines(s, d).select("value"), errors=True)
 
 
 @query(f"WITH {BASE_SQL}, {_ROUGH} SELECT error, count(*) AS events FROM (SELECT unnest([e1, e2, e3, e4]) AS error FROM rough) AS x WHERE error IS NOT NULL GROUP BY 1")
