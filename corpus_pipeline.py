@@ -16,18 +16,17 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop texts without a letter, and long ones that no language's automaton can parse."""
+    """Drop what no language is found for: texts that are null, empty or without a letter. No rows, no rows."""
     model = langid.fit(docs.where(~crc_is("doc_id", 4, 2)))
-    found = langid.detect_language(docs, model)
-    noise = (F.length("text") >= langid.NOISE_CHARS) & (F.col("lang_bits") > langid.NOISE_BITS)
-    return found.where((F.col("lang_pred") != "und") & ~noise).select(*COLUMNS)
+    return langid.detect_language(docs, model).where(F.col("lang_pred") != "und").select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of texts that share 0.8 or more of their shingles of five
     words, the one with the smallest doc_id; one row of repeated rows.
 
-    Rows without a doc_id cannot be told apart and stay.
+    Rows without a doc_id cannot be told apart and stay. Of rows of one id whose texts differ only
+    in case or spaces any one stays; null and empty texts are alike. No rows, no rows.
     """
     known = docs.where(F.col("doc_id").isNotNull()).withColumn("copy", simhash.copy_key("text"))
     least = known.groupBy("copy").agg(F.min("doc_id").alias("doc_id")).join(simhash.similar_groups(known), "copy")
@@ -36,7 +35,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a window of a benchmark item; others of the same or no doc_id stay."""
+    """Drop documents that hold a window of a benchmark item; others of the same or no doc_id stay.
+    Null and empty texts hold none; an empty benchmark drops nothing."""
     text = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))
     keyed = docs.withColumn("row", F.concat(F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("")), F.lit("/"), text))
     rows, hits, _ = winnow.contamination(keyed, table(spark, sf_dir, "benchmark"), doc_id="row")
@@ -45,13 +45,15 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Put a mask in place of every secret; no document goes."""
+    """Put a mask in place of every secret; no document goes. Null texts stay null; n_chars changes
+    only where a text does."""
     masked = secrets.redact(secrets.scan_secrets(docs), "secrets")
     return masked.withColumn("n_chars", F.when(F.size("secrets") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
 def pack_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack what is left: pieces of text with bucket, batch and slot."""
+    """Pack what is left: pieces of text with bucket, batch and slot. Null and empty texts
+    are pieces of no tokens; no rows, no pieces."""
     return packing.pack(docs)
 
 
