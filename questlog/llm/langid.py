@@ -14,13 +14,10 @@ from questlog.llm.common import by_size
 
 #: Symbols of a block. Blocks of a text are parsed side by side and then made to fit together.
 BLOCK = 256
-#: Characters of labelled text for each language, the documented bound of the fitted sample.
-SAMPLE_CHARS = 24_000
-#: Characters that one row gives to the sample at most.
-PIECE = 400
-#: Texts of so many characters whose symbols cost more bits than this are noise in every language.
-NOISE_CHARS = 200
-NOISE_BITS = 6.5
+#: Labelled rows of each language, the documented bound of the fitted sample; their texts are whole.
+SAMPLE_ROWS = 12
+#: Rows of more characters are drawn only where too few others are there, as an automaton is as large as its text.
+LONG_ROW = 16_000
 #: Blocks that walk through the automata side by side.
 WIDTH = 8192
 
@@ -123,7 +120,7 @@ def _placed(rows: list[dict[int, int]], width: int) -> tuple[np.ndarray, np.ndar
 
 
 def train(samples: dict[str, str]) -> Model:
-    """Fit on one bounded text per language; languages without a letter are left out."""
+    """Fit on one text per language; languages without a letter are left out."""
     folded = {k: x for k in sorted(samples) if len(x := _fold(samples[k]))}
     kinds = np.unique(np.concatenate(list(folded.values()))) if folded else np.zeros(0, np.uint32)
     symbols = {int(k): i + 1 for i, k in enumerate(kinds)}
@@ -137,32 +134,26 @@ def train(samples: dict[str, str]) -> Model:
     return Model(list(folded), symbols, *_placed(rows, len(symbols) + 1), np.array(roots, np.int64), bits)
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample_chars: int = SAMPLE_CHARS) -> Model:
-    """Sample about sample_chars characters of text for each language and fit.
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
+    """Fit on the whole texts of sample_rows labelled rows of each language at most.
 
-    Each row offers one piece, at a place set by the hash of its text; pieces are taken by that
-    hash below a share set by the number of labelled rows, in its order up to the bound. So the
-    sample is the same for any order and partitioning of rows, and no more reaches the driver.
+    Rows are taken in the order of their texts' hashes, long ones last; of those only a share, set by
+    the number of different texts of a language, is ordered. So the sample is the same for any order
+    and partitioning of rows, copies count once, and no more rows reach the driver. Rows without a
+    language or a text are passed over; none left: a model that knows no language.
     """
-    rows = docs.where(F.col(lang).isNotNull() & (F.length(text) > 0)).select(
-        F.col(lang).alias("lang"), F.col(text).alias("text")
-    )
-    totals = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    seed = F.xxhash64("text")
+    rows = docs.where(F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    totals = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct(seed).alias("n")).collect()}
     if not totals:
         return train({})
-    share = F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, min(1.0, 3 * sample_chars / PIECE / n))])
-    seed = F.xxhash64("text")
-    last = F.greatest(F.length("text") - PIECE, F.lit(0))
-    drawn = (
-        rows.where(seed.bitwiseAND(F.lit(0xFFFFFF)) / F.lit(0x1000000) < share[F.col("lang")])
-        .select("lang", seed.bitwiseAND(F.lit(0xFFFFFF)).alias("seed"), F.substring("text", (F.pmod(seed, last + 1) + 1).cast("int"), F.lit(PIECE)).alias("piece"))
-        .distinct()
-    )
-    before = Window.partitionBy("lang").orderBy("seed", "piece").rowsBetween(Window.unboundedPreceding, -1)
-    drawn = drawn.withColumn("before", F.coalesce(F.sum(F.length("piece")).over(before), F.lit(0))).where(F.col("before") < 1.5 * sample_chars)
+    share = F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, min(1.0, 4 * sample_rows / n))])
+    low = seed.bitwiseAND(F.lit(0xFFFFFF))
+    drawn = rows.where(low / F.lit(0x1000000) < share[F.col("lang")]).select("lang", "text", low.alias("seed")).distinct()
+    order = Window.partitionBy("lang").orderBy(F.length("text") > LONG_ROW, "seed", "text")
     found: dict[str, list[str]] = {}
-    for r in drawn.collect():
-        found.setdefault(r["lang"], []).append(r["piece"])
+    for r in drawn.withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample_rows).collect():
+        found.setdefault(r["lang"], []).append(r["text"])
     return train({k: "\n".join(sorted(v)) for k, v in found.items()})
 
 
