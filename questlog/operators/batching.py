@@ -184,7 +184,8 @@ def batch_summary(batched: DataFrame) -> DataFrame:
     )
 
 
-def archive_key(summary: DataFrame, prefix: str = "events") -> DataFrame:
-    """The archive's name for each batch, from the hour in which its first record arrived."""
+def archive_key(summary: DataFrame, prefix: str = "events", suffix: str = ".gzip") -> DataFrame:
+    """The archive's name for each batch, from the hour in which its first record arrived. Spark's
+    readers know compressed text by the suffix .gz, loads that are told so take any."""
     name = F.concat_ws("-", "first_sequence", "last_sequence")
-    return summary.withColumn("archive_key", F.concat(F.lit(f"{prefix}/"), F.date_format("first_arrival", "yyyy/MM/dd/HH/"), name, F.lit(".gzip")))
+    return summary.withColumn("archive_key", F.concat(F.lit(f"{prefix}/"), F.date_format("first_arrival", "yyyy/MM/dd/HH/"), name, F.lit(suffix)))

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from questlog.config import Limits
@@ -516,6 +516,20 @@ def write_error_archive(s, d):
     return s.read.text(path).select(_hour().alias("hour"), read.alias("r")).select("hour", "r.reason", "r.json", F.array_join("r.fields", ",").alias("fields"), "r.hex")
 
 
+@query(f"""WITH {BASE_SQL}, {_FLUSH}, {_SUMMARY} SELECT 'events/' || strftime(make_timestamp(first_arrival * 1000), '%Y/%m/%d/%H/') || first_sequence || '-' || last_sequence || '.gz' AS name, records, bytes FROM s""")
+def write_named_archive(s, d):
+    """Each batch of raw records in a file of its own under its archive key, and what is read back from it."""
+    path, records = _work(s), raw_records(s, d)
+    batched = batching.flush_batches(records, Limits(flush_records=100, flush_bytes=1 << 40, flush_ms=1 << 60))
+    keys = batching.archive_key(batching.batch_summary(batched), suffix=".gz").select("shard_id", "batch", "archive_key")
+    # copies of a record may lie on both sides of a cut
+    numbered = lambda df: df.withColumn("copy", F.row_number().over(Window.partitionBy("shard_id", "sequence_number", "arrival_ts").orderBy(F.lit(0))))
+    rows = numbered(records).join(numbered(batched), ["shard_id", "sequence_number", "arrival_ts", "copy"]).join(keys, ["shard_id", "batch"])
+    archive.write_named_archive(rows.select("archive_key", "sequence_number", F.col("data").cast("string").alias("value")), path)
+    read = s.read.option("recursiveFileLookup", "true").text(path).groupBy(F.regexp_extract(F.input_file_name(), "(events/.*)$", 1).alias("name"))
+    return read.agg(F.count("*").alias("records"), F.sum(F.octet_length("value")).alias("bytes"))
+
+
 def _pointers(s, d):
     keys = batching.archive_key(batching.batch_summary(_flushed(s, d)))
     return archive.file_pointers(keys, "archive_key").join(keys.select(F.col("archive_key").alias("filename"), "shard_id", "first_sequence"), "filename")

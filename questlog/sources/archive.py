@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +59,34 @@ def write_archive(lines: DataFrame, path: str, mode: str = "append") -> None:
     shared.hint("rebalance", *PARTS).write.mode(mode).partitionBy(*PARTS).option("compression", "gzip").text(path)
 
 
+def write_named_archive(lines: DataFrame, path: str, name: str = "archive_key") -> list[str]:
+    """Lines (archive_key, sequence_number, value) as one gzip file for each batch, under the name that its key says.
+
+    A batch has a bounded number of records and bytes, so a task writes each on its own, in its
+    order. Files are written aside and moved to their names one by one, those of one micro-batch
+    that the caller hands over; a file that is there already is replaced. Returns the names.
+    """
+    spark = lines.sparkSession
+    aside = f"{path}/_named-{uuid.uuid4().hex}"
+    rows = lines.select(name, "sequence_number", F.regexp_replace("value", r"\n\z", "").alias("value")).repartition(name).sortWithinPartitions(name, "sequence_number", "value")
+    rows.select(name, "value").write.partitionBy(name).option("compression", "gzip").text(aside)
+    to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = to(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, found = fs.listFiles(to(aside), True), []
+    while files.hasNext():
+        file = files.next().getPath()
+        if file.getName().startswith("part-"):
+            found.append((file, unquote(file.getParent().getName().removeprefix(f"{name}="))))
+    for file, key in found:
+        target = to(f"{path}/{key}")
+        fs.mkdirs(target.getParent())
+        fs.delete(target, False)
+        if not fs.rename(file, target):
+            raise OSError(f"{file} could not be moved to {key}")
+    fs.delete(to(aside), True)
+    return sorted(key for _, key in found)
+
+
 def written_files(spark: SparkSession, path: str) -> DataFrame:
     """The files under a path, from their listing alone: filename, arrival_ts (when it was written) and length."""
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)

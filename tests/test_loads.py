@@ -1,6 +1,7 @@
 """Loads: times out of range, audits, the ledger, moving windows, pointers, and the life of month tables."""
 
 import datetime as dt
+import gzip
 import json
 import re
 
@@ -294,3 +295,15 @@ def test_statistics_come_back_from_the_catalogue(spark, months):
     got = {r["column"]: r for r in lifecycle.catalogue_column_stats(spark, months, ["event_id", "event_timestamp"]).collect()}
     assert got["event_id"]["nulls"] == 0 and 55 <= got["event_id"]["distinct"] <= 65
     assert lifecycle.analyze_months(spark, months, ["event_id"], [(1890, 1)])[1890, 1].startswith("failed")
+
+
+def test_batches_are_written_under_their_names(spark, tmp_path):
+    lines = [("events/2024/01/01/00/a-b.gz", i, f"line {i:03d}\n") for i in range(50)] + [("events/2024/01/01/01/c d-e=f.gz", 7, "one"), ("events/2024/01/01/01/c d-e=f.gz", 3, "before")]
+    df = spark.createDataFrame(lines, "archive_key string, sequence_number long, value string").repartition(4)
+    for _ in range(2):  # a second time replaces them
+        assert archive.write_named_archive(df, f"{tmp_path}/a") == sorted({k for k, *_ in lines})
+    for name in {k for k, *_ in lines}:
+        want = [v.rstrip("\n") for k, _, v in sorted(lines, key=lambda x: x[1]) if k == name]
+        with gzip.open(f"{tmp_path}/a/{name}", "rt") as f:
+            assert f.read().splitlines() == want
+    assert not list(tmp_path.glob("a/_named*"))
