@@ -86,6 +86,16 @@ def _split(part: pd.DataFrame, block: int) -> tuple[pd.DataFrame, int, int]:
     return part, first, int((part["place"] < first + block).sum())
 
 
+def _begun(part: pd.DataFrame, first: int, own: int, limits: Limits) -> np.ndarray:
+    """Where batches begin in a block of so many records, the first of them at a given place."""
+    following = next_starts(part["size"].to_numpy(), part["us"].to_numpy(), limits)
+    places = []
+    while first < own:
+        places.append(first)
+        first = int(following[first])
+    return np.array(places, np.int64)
+
+
 def flush_batches(records: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Cut each shard's records when their number, bytes or age since the batch's first reach a limit.
 
@@ -95,27 +105,27 @@ def flush_batches(records: DataFrame, limits: Limits = Limits()) -> DataFrame:
     leads to in the next block is a pointer; pointers are doubled until those that follow from the
     shard's first record are known in every block. Then each block is cut on its own.
 
-    Limits of more records than a block may hold are cut in each shard's order, as one stream.
+    Where all shards fit a block each, they are cut as one block each. Limits of more records than a
+    block may hold are cut in each shard's order, as one stream.
     """
     sized = records.select("shard_id", "sequence_number", F.unix_micros("arrival_ts").alias("us"), F.coalesce(F.octet_length("data"), F.lit(0)).cast("long").alias("size"))
     if limits.flush_records > MOST_BLOCK:
         return _shown(_cut_in_order(sized, limits))
     shard = F.coalesce(F.concat(F.lit("="), F.col("shard_id").cast("string")), F.lit(""))  # one that equals itself where the id is null
-    numbered = written(number_rows(sized.withColumn("shard", shard), ["shard"], ["sequence_number", "us"]))
+    sized = sized.withColumn("shard", shard)
     block = max(LEAST_BLOCK, limits.flush_records)
-    blocks = 1 + (numbered.agg(F.max("place")).first()[0] or 0) // block
+    blocks = -(-(sized.groupBy("shard").count().agg(F.max("count")).first()[0] or 0) // block)
+    if blocks <= 1:
+        return _shown(_cut_whole_shards(sized, limits))
+    numbered = written(number_rows(sized, ["shard"], ["sequence_number", "us"]))
     zero = F.lit(0).cast("long")
     first = numbered.select("shard").distinct().select("shard", zero.alias("block"), zero.alias("start"))
-    starts = written(first.unionByName(_block_starts(numbered, limits, block, blocks))) if blocks > 1 else first
+    starts = written(first.unionByName(_block_starts(numbered, limits, block, blocks)))
 
     def cut(_, parts: pd.DataFrame, begun: pd.DataFrame) -> pd.DataFrame:
         part, at, own = _split(parts, block)
-        following = next_starts(part["size"].to_numpy(), part["us"].to_numpy(), limits)
-        begin, places = (int(begun["start"].iloc[0]) - at if len(begun) else own), []
-        while begin < own:
-            places.append(begin)
-            begin = int(following[begin])
-        inside = np.searchsorted(np.array(places, np.int64), np.arange(own), "right")
+        places = _begun(part, int(begun["start"].iloc[0]) - at if len(begun) else own, own, limits)
+        inside = np.searchsorted(places, np.arange(own), "right")
         return part.iloc[:own][["shard", "place", "block"]].assign(inside=inside, begun=len(places))
 
     key = ["shard", "block"]
@@ -126,6 +136,14 @@ def flush_batches(records: DataFrame, limits: Limits = Limits()) -> DataFrame:
     return _shown(numbered.join(batches, ["shard", "place"]))
 
 
+def _cut_whole_shards(sized: DataFrame, limits: Limits) -> DataFrame:
+    def cut(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["sequence_number", "us"], kind="stable")
+        return part.assign(batch=np.searchsorted(_begun(part, 0, len(part), limits), np.arange(len(part)), "right") - 1)
+
+    return sized.groupBy("shard").applyInPandas(cut, f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in sized.schema)}, batch long")
+
+
 def _shown(cut: DataFrame) -> DataFrame:
     return cut.select("shard_id", "sequence_number", F.timestamp_micros("us").alias("arrival_ts"), "size", "batch")
 

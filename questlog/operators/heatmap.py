@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from questlog.session import written
+
 #: The world's centre and the map's size.
 CENTRE = (503.245239, 748.971008)
 MAP_SIZE = (512, 512)
@@ -25,8 +27,10 @@ def heatmap_to_map(bins: DataFrame, centre: tuple[float, float] = CENTRE, size:
 def heatmap_hexbin(points: DataFrame, grid: int = 25) -> DataFrame:
     """The largest count of a bin in each hexagon, from the nearest centres of two lattices.
 
-    The extent is one row, joined to every point. A zero extent is one cell.
+    Points, one for each pixel with events, are written first, so that what they come from is worked
+    out once. The extent is one row, joined to every point. A zero extent is one cell.
     """
+    points = written(points)
     rows = max(1, int(grid / 3**0.5))
     extent = points.agg(F.min("map_x").alias("x0"), F.max("map_x").alias("x1"), F.min("map_y").alias("y0"), F.max("map_y").alias("y1"))
     step = lambda lo, hi, n: F.when(F.col(hi) > F.col(lo), (F.col(hi) - F.col(lo)) / n).otherwise(1.0)

@@ -40,7 +40,7 @@ def union_months(tables: list[DataFrame]) -> DataFrame:
 
 def list_month_partitions(spark: SparkSession, path: str) -> DataFrame:
     """Year, month, files and bytes of the month tables under a path, from the listing of their files alone."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
     part = lambda name: F.regexp_extract("path", f"/{name}=([0-9]+)/", 1).cast("int").alias(name)
     return files.select(part("year"), part("month"), "length").groupBy("year", "month").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
 
@@ -72,6 +72,14 @@ def month_location(spark: SparkSession, table: str, year: int, month: int) -> st
     return _described(spark, table, (year, month))["Location"]
 
 
+def month_folder(spark: SparkSession, table: str, year: int, month: int) -> str:
+    """Where a month of a catalogued table lies; it is made if it is not there. To add one that is
+    there would, in some catalogues, put it back to the folder it began with."""
+    if (year, month) not in _partitions(spark, table):
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (year = {year}, month = {month})")
+    return month_location(spark, table, year, month)
+
+
 def refresh_union_view(spark: SparkSession, table: str, view: str) -> None:
     """A view of all months that the table has now, and of no other; each is one partition's scan."""
     columns = ", ".join(c for c in spark.table(table).columns)
@@ -138,7 +146,8 @@ def swap_compacted_month(spark: SparkSession, table: str, year: int, month: int,
 
     The folder of before is left to those who are reading it, and returned; discard_folders removes
     it once they have ended. A failure before the switch leaves the table as it was. A month is to
-    be swapped while nothing is added to it.
+    be swapped while nothing is added to it; loads of the table are to name it, as by its path alone
+    they would go on with the folder of before.
     """
     before = month_location(spark, table, year, month)
     root = _described(spark, table)["Location"]

@@ -4,7 +4,8 @@ A load goes through four steps, each of which may be repeated after a failure. I
 its counts are written under _staged; from the counts on the load is never computed again. The files
 are moved into the table under names that hold the load's name, those that are there already
 stay; the counts are moved into _ledger, which ends the load. Folders that begin with _ are no part
-of the table for its readers.
+of the table for its readers. Months of a table in the catalogue are where the catalogue says, so
+that loads, rolls and compaction agree.
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from questlog.operators.lifecycle import month_folder
+from questlog.sources.archive import existing_months
+
 ENTRY = (
     "query string, batch long, part long, loaded_at timestamp, manifest string, files array<string>, missing array<string>, pointers long, bad_pointers long, repeated_pointers long, "
     "copied long, inserted long, load_errors long, out_of_retention long, true_duplicates long, millis_behind long"
@@ -22,13 +26,23 @@ ENTRY = (
 
 
 class Ledger:
-    """The loads of one table."""
+    """The loads of one table, that of a path or, with catalogue, the one of that name."""
 
-    def __init__(self, spark: SparkSession, table: str):
-        self.spark, self.table = spark, table.rstrip("/")
+    def __init__(self, spark: SparkSession, table: str, catalogue: str | None = None):
+        self.spark, self.table, self.catalogue = spark, table.rstrip("/"), catalogue
         self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.table).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
+    def rows(self, schema: StructType) -> DataFrame:
+        """What the table holds."""
+        return self.spark.table(self.catalogue) if self.catalogue else existing_months(self.spark, self.table, schema)
+
+    def _month(self, year: str, month: str) -> str:
+        """The folder of a month, by the names of its partition's folders."""
+        if not self.catalogue:
+            return f"{self.table}/{year}/{month}"
+        return month_folder(self.spark, self.catalogue, *(int(x.split("=")[1]) for x in (year, month)))
+
     def _there(self, path: str) -> bool:
         return self._fs.exists(self._path(path))
 
@@ -74,15 +88,16 @@ class Ledger:
         """Move a load's files, at most one a task and month, into the partitions of the table."""
         if not self._there(staged):
             return
-        files = self._fs.listFiles(self._path(staged), True)
-        moves = []
+        files, found = self._fs.listFiles(self._path(staged), True), []
         while files.hasNext():
             path = files.next().getPath()
-            name, month, year = path.getName(), path.getParent(), path.getParent().getParent()
-            if name.startswith("part-"):
-                moves.append((path.toString(), f"{self.table}/{year.getName()}/{month.getName()}/load-{load}-{name}"))
-        for old, new in moves:
-            self._move(old, new)
+            if path.getName().startswith("part-"):
+                found.append((path.getParent().getParent().getName(), path.getParent().getName(), path))
+        folders = {x: self._month(*x) for x in {(y, m) for y, m, _ in found}}
+        for y, m, path in found:
+            self._move(path.toString(), f"{folders[y, m]}/load-{load}-{path.getName()}")
+        if self.catalogue:
+            self.spark.catalog.refreshTable(self.catalogue)
 
     def enter(self, load: str, counts: str) -> None:
         self._move(counts, f"{self.table}/_ledger/load={load}")

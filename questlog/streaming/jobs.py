@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from questlog.config import Limits
 from questlog.operators import load, parse
 from questlog.sources import archive
-from questlog.sources.archive import existing_months, write_archive
+from questlog.sources.archive import write_archive
 from questlog.sources.ledger import Ledger
 
 #: A date, or what tells the date when a batch is loaded.
@@ -75,7 +75,7 @@ def _load_lines(
     are; the rows that are added are counted as they are written."""
 
     def rows():
-        spark, day = ledger.spark, as_of if isinstance(as_of, dt.date) else as_of()
+        day = as_of if isinstance(as_of, dt.date) else as_of()
         parsed = load.project_event_row(lines, errors=True).persist()
         try:
             profile = load.batch_profile(parsed, day, months).collect()  # one row a month of the window
@@ -83,7 +83,7 @@ def _load_lines(
                 load.split_load_errors(parsed, "quarantine")[1].write.mode("overwrite").parquet(f"{errors_path}/load={name}")
             kept = [r for r in profile if r["year"]]
             total = {c: sum(r[c] for r in profile) for c in ("copied", "load_errors", "out_of_retention")}
-            existing = existing_months(spark, ledger.table, load.with_month(parsed.drop("type_errors")).schema)
+            existing = ledger.rows(load.with_month(parsed.drop("type_errors")).schema)
             span = (min(r["first"] for r in kept), max(r["last"] for r in kept)) if kept else None
             fresh = load.dedupe_load(parsed, existing, day, months, on_error, [(r["year"], r["month"]) for r in kept], span, total["copied"])
         except BaseException:
@@ -110,12 +110,15 @@ def _checked(on_error: str, errors_path: str | None) -> None:
 
 
 def stream_load(
-    lines: DataFrame, table: str, as_of: Day = today, checkpoint: str = "", months: int = 6, trigger: str | None = None, on_error: str = "fail", errors_path: str | None = None, now_ms: int | None = None,
+    lines: DataFrame, table: str, as_of: Day, checkpoint: str, months: int = 6, trigger: str | None = None, on_error: str = "fail", errors_path: str | None = None,
+    now_ms: int | None = None, catalogue: str | None = None,
 ) -> StreamingQuery:
     """Load archive lines into the month tables batch by batch, against what they hold already.
 
-    as_of is asked for the date at every batch, so that the retention window moves with the
-    calendar; a date stands still. Of the tables only the months and the times that the batch has
+    as_of, such as today, is asked for the date at every batch, so that the retention window moves
+    with the calendar; a date stands still. With catalogue, table is the path of the catalogued
+    table of that name, and its months are where the catalogue says (a session that has listed its
+    files before is to refresh it). Of the tables only the months and the times that the batch has
     are read, and of those, if the batch is small, only its keys. Rows that break a rule fail the
     batch, or go to errors_path with on_error="quarantine".
 
@@ -126,14 +129,14 @@ def stream_load(
 
     def each(batch: DataFrame, number: int) -> None:
         query = _query_id(batch.sparkSession)
-        _load_lines(Ledger(batch.sparkSession, table), f"{query}-{number}-0", batch, {"query": query, "batch": number, "part": 0}, as_of, months, on_error, errors_path, now_ms)
+        _load_lines(Ledger(batch.sparkSession, table, catalogue), f"{query}-{number}-0", batch, {"query": query, "batch": number, "part": 0}, as_of, months, on_error, errors_path, now_ms)
 
     return _start(lines, each, checkpoint, trigger)
 
 
 def stream_load_pointers(
-    pointers: DataFrame, table: str, as_of: Day = today, checkpoint: str = "", months: int = 6, trigger: str | None = None, on_error: str = "fail", errors_path: str | None = None,
-    data: str = "pointer", bucket: str = "", mandatory: bool = True, limits: Limits = Limits(), now_ms: int | None = None,
+    pointers: DataFrame, table: str, as_of: Day, checkpoint: str, months: int = 6, trigger: str | None = None, on_error: str = "fail", errors_path: str | None = None,
+    data: str = "pointer", bucket: str = "", mandatory: bool = True, limits: Limits = Limits(), now_ms: int | None = None, catalogue: str | None = None,
 ) -> StreamingQuery:
     """Load the files that a stream of pointers (sequence_number, pointer) names, by manifests.
 
@@ -148,7 +151,7 @@ def stream_load_pointers(
 
     def each(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        query, ledger = _query_id(spark), Ledger(spark, table)
+        query, ledger = _query_id(spark), Ledger(spark, table, catalogue)
         read = archive.parse_file_pointers(batch, data).select("sequence_number", "outcome", F.concat(F.lit(bucket), "filename").alias("filename")).persist()
         try:
             counted = read.agg(F.count("*").alias("pointers"), F.count_if(F.col("outcome") != "ok").alias("bad")).first()

@@ -279,6 +279,32 @@ def test_compacted_months_are_switched_in(spark, tmp_path, months):
         lifecycle._remove_month(spark, months, f"file:{tmp_path}/t")
 
 
+def test_loads_rolls_and_compaction_of_one_table(spark, tmp_path):
+    path, table, state = f"{tmp_path}/lines", f"{tmp_path}/t", f"{tmp_path}/c"
+    schema = load.with_month(rows(spark).drop("type_errors"))
+    schema.write.partitionBy("year", "month").option("path", table).saveAsTable("loaded_t")
+    try:
+
+        def count():
+            spark.catalog.refreshTable("loaded_t")  # a session that has listed the files before lists them anew
+            return spark.table("loaded_t").count()
+
+        put(spark, path, {"event_id": "a"}, {"event_id": "b", "event_timestamp": JAN - 40 * 86_400_000})
+        run(spark, path, table, state, catalogue="loaded_t")
+        assert count() == 2 and lifecycle._partitions(spark, "loaded_t") == [(2023, 11), (2024, 1)]
+        assert {(r["year"], r["month"], r["files"]) for r in lifecycle.list_month_partitions(spark, table).collect()} == {(2023, 11, 1), (2024, 1, 1)}
+        before = lifecycle.swap_compacted_months(spark, "loaded_t")
+        lifecycle.discard_folders(spark, "loaded_t", list(before.values()))
+        put(spark, path, {"event_id": "a"}, {"event_id": "c"}, {"event_id": "b", "event_timestamp": JAN - 40 * 86_400_000})
+        run(spark, path, table, state, catalogue="loaded_t")  # history lies in the compacted folders
+        assert count() == 3 and len(spark.table("loaded_t").where("month = 1").inputFiles()) == 2
+        assert total(spark, table)["inserted"] == 3 and total(spark, table)["true_duplicates"] == 2
+        lifecycle.roll_month_tables(spark, "loaded_t", dt.date(2024, 5, 2))
+        assert {r["event_id"] for r in spark.table("loaded_t").collect()} == {"a", "c"}
+    finally:
+        spark.sql("DROP TABLE loaded_t")
+
+
 def test_a_swap_that_fails_leaves_the_month(spark, tmp_path, months, monkeypatch):
     monkeypatch.setattr(lifecycle, "_compacted", lambda *_: (_ for _ in ()).throw(OSError("lost")))
     done = lifecycle.swap_compacted_months(spark, months, [(2023, 12)])
