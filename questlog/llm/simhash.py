@@ -232,15 +232,46 @@ def _sizes_allow() -> Column:
     return F.least("x.n", "y.n") >= SIMILARITY * F.greatest("x.n", "y.n")
 
 
+def _texts(ids: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """A text (id, text) for each of the distinct ids."""
+    return docs.select("copy", "text").join(nodes.select("id", "copy").join(ids, "id"), "copy").dropDuplicates(["id"]).select("id", "text")
+
+
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts have the similarity."""
     pairs = cut(pairs.select("a", "b").distinct())
-    wanted = nodes.select("id", "copy").join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id")
-    texts = cut(docs.select("copy", "text").join(wanted, "copy").dropDuplicates(["id"]).select("id", "text"))
+    texts = cut(_texts(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), nodes, docs))
     sides = [texts.select(F.col("id").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab"]
     return cut(pairs.join(sides[0], "a").join(sides[1], "b").where(F.pandas_udf(_similar, "boolean")("text_a", "text_b")).select("a", "b"))
 
 
+def _sets(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for texts in batches:
+        yield pd.Series([shingle_set(t).view(np.int64) for t in texts], index=texts.index, dtype=object)
+
+
+def _linked(rest: DataFrame, may: Column, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) under one key whose texts have the similarity, of those for which may holds;
+    rest: key, x (id, ...); may is symmetric in x and y and false for a text with itself.
+
+    A text that may have a partner comes to the keys where it may with its whole set of shingles,
+    and the join decides by the sets: what does not link makes no row, however many texts are almost
+    alike, and a pair is decided at the first of the keys that it shares.
+    """
+    other = rest.select(F.col("key").alias("at"), F.col("x").alias("y"))
+    rows = cut(rest.join(other, (F.col("key") == F.col("at")) & may, "left_semi"))
+    keys = rows.groupBy("x.id").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    sets = _texts(keys.select("id"), nodes, docs).select("id", F.pandas_udf(_sets, "array<long>")("text").alias("set"))
+    whole = cut(rows.join(cut(keys.join(sets, "id")), F.col("x.id") == F.col("id")).select("key", "x", "keys", "set"))
+    other = whole.select(F.col("key").alias("at"), F.col("x").alias("y"), F.col("keys").alias("other_keys"), F.col("set").alias("other_set"))
+    first = F.get(F.array_intersect("keys", "other_keys"), F.lit(0)) == F.col("key")
+    both = F.size(F.array_intersect("set", "other_set"))
+    # shared >= SIMILARITY * (all - shared) in whole numbers, whatever the rounding of the share
+    alike = both >= SIMILARITY / (1 + SIMILARITY) * (F.size("set") + F.size("other_set")) - 1e-6
+    decided = F.when((F.col("x.id") < F.col("y.id")) & may, F.when(first, alike).otherwise(False)).otherwise(False)
+    return cut(whole.join(other, (F.col("key") == F.col("at")) & decided).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
+
+
 def _joined(groups: DataFrame, links: DataFrame) -> DataFrame:
     """Groups (id, group) after links (a, b) between their members."""
     ends = [groups.select(F.col("id").alias(s), F.col("group").alias(f"g{s}")) for s in "ab"]
@@ -260,9 +291,9 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     Texts of similarity SIMILARITY or more link, and group is what links reach. Fingerprints meet
     at the anchors nearest to them. Under a key of few texts all are paired, under others each with
     one of them; of what the fingerprints allow, the closest pair of each text is decided first by
-    the whole sets of shingles, then what still lies in two groups. In the end all texts are paired
-    under the keys of many texts that hold several groups: a large group of near copies makes few
-    pairs, and none is left out. Texts without words are alike.
+    the whole sets of shingles, then what still lies in two groups. In the end all texts are compared
+    under the keys of many texts that hold several groups, and only what links makes a row: texts that
+    are almost similar cost comparisons, but no rows, and none is left out. Texts without words are alike.
     """
     longs = range(WIDE)
     nodes = cut(
@@ -292,6 +323,5 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     rest = many.select("key", F.col("x.id").alias("id")).join(groups, "id")
     several = rest.groupBy("key").agg(F.min("group").alias("least"), F.max("group").alias("most")).where("least <> most").select("key")
     rest = cut(rest.join(several, "key").join(prints, "id").select("key", F.struct("id", "group", "n", *[f"f{i}" for i in longs]).alias("x")))
-    last = rest.join(rest.withColumnRenamed("x", "y"), "key").where((F.col("x.id") < F.col("y.id")) & (F.col("x.group") != F.col("y.group")) & near & (bits <= MOST_BITS))
-    groups = _joined(groups, _verified(last.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), nodes, docs))
+    groups = _joined(groups, _linked(rest, (F.col("x.group") != F.col("y.group")) & near & (bits <= MOST_BITS), nodes, docs))
     return groups.join(nodes.select("id", "copy"), "id").select("copy", "group")
