@@ -320,8 +320,10 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     alone = nodes.select("id", F.col("id").alias("group"))
     groups = _joined(alone, _verified(best.select(F.least("a", "m.b").alias("a"), F.greatest("a", "m.b").alias("b")), nodes, docs))
     groups = _joined(groups, _verified(_across(close, groups), nodes, docs))
-    rest = many.select("key", F.col("x.id").alias("id")).join(groups, "id")
-    several = rest.groupBy("key").agg(F.min("group").alias("least"), F.max("group").alias("most")).where("least <> most").select("key")
-    rest = cut(rest.join(several, "key").join(prints, "id").select("key", F.struct("id", "group", "n", *[f"f{i}" for i in longs]).alias("x")))
+    # a text meets its group and fingerprint once, with all its keys (ROTATIONS at most), not once under each
+    held = cut(many.groupBy("x.id").agg(F.collect_list("key").alias("hot")).join(groups, "id"))
+    several = held.select(F.explode("hot").alias("key"), "group").groupBy("key").agg(F.min("group").alias("least"), F.max("group").alias("most")).where("least <> most").select("key")
+    rest = held.join(prints, "id").select(F.explode("hot").alias("key"), F.struct("id", "group", "n", *[f"f{i}" for i in longs]).alias("x"))
+    rest = cut(rest.join(several, "key"))
     groups = _joined(groups, _linked(rest, (F.col("x.group") != F.col("y.group")) & near & (bits <= MOST_BITS), nodes, docs))
     return groups.join(nodes.select("id", "copy"), "id").select("copy", "group")

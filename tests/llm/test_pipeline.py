@@ -146,6 +146,41 @@ def test_texts_that_are_almost_similar_make_few_rows(spark, monkeypatch):
     assert {r["doc_id"] for r in got.collect()} == set(group)
 
 
+def rows_of_joins_on_ids(spark, run):
+    """Rows made by inner joins of an id with an id while run() works, by Spark's own counts."""
+    store, bus = spark._jsparkSession.sharedState().statusStore(), spark.sparkContext._jsc.sc().listenerBus()
+    bus.waitUntilEmpty()
+    listed = lambda: [store.executionsList().apply(i).executionId() for i in range(store.executionsList().size())]
+    before = set(listed())
+    run()
+    bus.waitUntilEmpty()
+    made = 0
+    for k in set(listed()) - before:
+        nodes, counts = store.planGraph(k).allNodes(), store.executionMetrics(k)
+        for i in range(nodes.size()):
+            if re.search(r"Join \[id#\d+L?\], \[id#\d+L?\], Inner", nodes.apply(i).desc()):
+                for j in range((metrics := nodes.apply(i).metrics()).size()):
+                    if (m := metrics.apply(j)).name() == "number of output rows" and counts.contains(m.accumulatorId()):
+                        made += int(counts.apply(m.accumulatorId()).replace(",", ""))
+    return made
+
+
+def test_texts_under_many_keys_meet_their_groups_once(spark):
+    rng = np.random.default_rng(35)
+    word = lambda: "".join(rng.choice(PARTS["aa"], 4))
+    base = [word() for _ in range(390)]
+    texts = []
+    for _ in range(300):  # all share most keys, and two places in 76 of each are edited: all are similar
+        texts.append(list(base))
+        for at in rng.choice(np.arange(5, 385, 5), 2, replace=False):
+            texts[-1][at] = word()
+    docs = spark.createDataFrame([(i, " ".join(t), None, None, None) for i, t in enumerate(texts)], SCHEMA)
+    got = []
+    made = rows_of_joins_on_ids(spark, lambda: got.extend(corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()))
+    assert [r["doc_id"] for r in got] == [0]
+    assert made < 50 * len(texts), made
+
+
 def test_rows_of_one_or_no_id_go_alone(spark, tmp_path):
     rng = np.random.default_rng(4)
     make = lambda n: " ".join("".join(rng.choice(PARTS["aa"], 4)) for _ in range(n))
