@@ -64,16 +64,16 @@ class Ledger:
     def ended(self, load: str) -> bool:
         return self._there(f"{self.table}/_ledger/load={load}")
 
-    def run(self, load: str, rows: Callable[[], tuple[DataFrame, Callable[[], dict[str, Any]]]]) -> None:
+    def run(self, load: str, rows: Callable[[], tuple[DataFrame, Callable[[DataFrame], DataFrame], Callable[[], dict[str, Any]]]]) -> None:
         """Bring a load to its end, from where it stands. rows gives the rows to be added, by year
-        and month, and a function that gives the entry once they are written; it is called only if
-        nothing has been staged."""
+        and month, what observes them as they are written, and a function that gives the entry once
+        they are; it is called only if nothing has been staged."""
         if self.ended(load):
             return
         staged = f"{self.table}/_staged/{load}"
         if not self._there(f"{staged}/counts/_SUCCESS"):
-            added, entry = rows()
-            write_by_month(added, f"{staged}/rows")
+            added, observed, entry = rows()
+            write_by_month(added, f"{staged}/rows", observed)
             self.stage_entry(entry(), f"{staged}/counts")
         self.publish(load, f"{staged}/rows")
         self.enter(load, f"{staged}/counts")
@@ -103,6 +103,11 @@ class Ledger:
         self._move(counts, f"{self.table}/_ledger/load={load}")
 
 
-def write_by_month(rows: DataFrame, path: str) -> None:
-    """Rows to the partition of their month in place of what a try before has left, sorted by time and type in each file."""
-    rows.hint("rebalance", "year", "month").sortWithinPartitions("year", "month", "event_timestamp", "event_type").write.mode("overwrite").partitionBy("year", "month").parquet(path)
+def write_by_month(rows: DataFrame, path: str, observed: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
+    """Rows to the partition of their month in place of what a try before has left, sorted by time and type in each file.
+
+    They are observed behind the exchange: an observation before it is taken out of the plan together
+    with all else when the exchange turns out to bring no rows.
+    """
+    dealt = observed(rows.hint("rebalance", "year", "month"))
+    dealt.sortWithinPartitions("year", "month", "event_timestamp", "event_type").write.mode("overwrite").partitionBy("year", "month").parquet(path)

@@ -90,6 +90,7 @@ def _load_lines(
             parsed.unpersist()
             raise
         added = Observation(f"load-{name}")
+        observed = lambda df: df.observe(added, F.count(F.lit(1)).alias("inserted"), F.max(F.lit(_now_ms(now_ms)) - F.unix_millis("server_timestamp")).alias("behind"))
 
         def counts() -> dict:
             parsed.unpersist()
@@ -97,7 +98,7 @@ def _load_lines(
             repeated = total["copied"] - total["load_errors"] - total["out_of_retention"] - n
             return entry | total | {"inserted": n, "true_duplicates": repeated, "millis_behind": added.get["behind"], "loaded_at": dt.datetime.now(dt.timezone.utc)}
 
-        return fresh.observe(added, F.count(F.lit(1)).alias("inserted"), F.max(F.lit(_now_ms(now_ms)) - F.unix_millis("server_timestamp")).alias("behind")), counts
+        return fresh, observed, counts
 
     ledger.run(name, rows)
 

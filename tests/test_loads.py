@@ -181,6 +181,33 @@ def test_a_batch_of_errors_alone(spark, tmp_path):
     assert got == {0: (0, 1, None), 1: (1, 0, 5)}
 
 
+def test_a_large_batch_that_adds_nothing(spark, tmp_path, monkeypatch):
+    """It is of more rows than FEW_KEYS and too large for a broadcast; no row of it is left, and the load ends."""
+    monkeypatch.setattr(load, "FEW_KEYS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    batches = [{"event_id": "a"}, {"event_id": "b"}, {"event_id": "b"}], [{"event_id": "a"}, {"event_id": "b"}], [{"event_id": "old", "event_timestamp": 5}]
+    try:
+        for i, batch in enumerate(batches):
+            put(spark, f"{tmp_path}/lines", *batch)
+            run(spark, f"{tmp_path}/lines", f"{tmp_path}/t", f"{tmp_path}/c", now_ms=JAN + i)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    got = {r["batch"]: (r["copied"], r["inserted"], r["true_duplicates"], r["millis_behind"]) for r in ledger.Ledger(spark, f"{tmp_path}/t").entries().collect()}
+    assert got == {0: (3, 2, 1, 0), 1: (2, 0, 2, None), 2: (1, 0, 0, None)}
+    assert sorted(r["event_id"] for r in spark.read.parquet(f"{tmp_path}/t").select("event_id").collect()) == ["a", "b"]
+
+
+def test_rows_of_a_staged_file_are_sorted(spark, tmp_path):
+    """They are counted on the way, behind the exchange, and their order in a file stays."""
+    put(spark, f"{tmp_path}/lines", *[{"event_id": f"e{i}", "event_timestamp": JAN + i * 7919 % 1000, "event_type": f"t{i % 3}"} for i in range(300)])
+    run(spark, f"{tmp_path}/lines", f"{tmp_path}/t", f"{tmp_path}/c")
+    files = spark.read.parquet(f"{tmp_path}/t").select(F.input_file_name().alias("f"), F.unix_millis("event_timestamp").alias("t"), "event_type").collect()
+    assert len(files) == 300
+    for name in {r["f"] for r in files}:
+        own = [(r["t"], r["event_type"]) for r in files if r["f"] == name]
+        assert own == sorted(own)
+
+
 def test_pointers_become_manifests(spark, tmp_path):
     path, table, folder = f"{tmp_path}/lines", f"{tmp_path}/t", f"{tmp_path}/p"
     lines(spark, *[{"event_id": f"e{i}"} for i in range(40)]).repartition(7).write.text(path)
