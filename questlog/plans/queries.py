@@ -524,9 +524,12 @@ def write_named_archive(s, d):
     keys = batching.archive_key(batching.batch_summary(batched), suffix=".gz").select("shard_id", "batch", "archive_key")
     # copies of a record may lie on both sides of a cut
     numbered = lambda df: df.withColumn("copy", F.row_number().over(Window.partitionBy("shard_id", "sequence_number", "arrival_ts").orderBy(F.lit(0))))
-    rows = numbered(records).join(numbered(batched), ["shard_id", "sequence_number", "arrival_ts", "copy"]).join(keys, ["shard_id", "batch"])
-    archive.write_named_archive(rows.select("archive_key", "sequence_number", F.col("data").cast("string").alias("value")), path)
-    read = s.read.option("recursiveFileLookup", "true").text(path).groupBy(F.regexp_extract(F.input_file_name(), "(events/.*)$", 1).alias("name"))
+    named = batched.join(keys, ["shard_id", "batch"]).select("shard_id", "sequence_number", "arrival_ts", "archive_key")  # before the records join, which are large
+    rows = numbered(records).join(numbered(named), ["shard_id", "sequence_number", "arrival_ts", "copy"])
+    names = archive.write_named_archive(rows.select("archive_key", "sequence_number", F.col("data").cast("string").alias("value")), path)
+    lines = s.read.option("recursiveFileLookup", "true").text(path).select(F.regexp_extract(F.input_file_name(), "(events/.*)$", 1).alias("name"), "value")
+    # Spark deals out a few files a task, as if each were of megabytes; here a task reads some 500
+    read = lines.coalesce(max(s.sparkContext.defaultParallelism, len(names) // 500)).groupBy("name")
     return read.agg(F.count("*").alias("records"), F.sum(F.octet_length("value")).alias("bytes"))
 
 

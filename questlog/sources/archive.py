@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import gzip
 import json
+import os
 import uuid
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import suppress
+from itertools import groupby
+from operator import itemgetter
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -15,6 +23,10 @@ from questlog.operators.once import once
 from questlog.schemas import RAW
 
 PARTS = ["year", "month", "day", "hour"]
+#: Files that are moved to their names side by side where the driver has that done.
+MOVES = 32
+#: The name of a file of lines without one.
+NO_NAME = "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_raw_stream(spark: SparkSession, source: str, start: str = "latest", max_per_trigger: int | None = None, servers: str | None = None) -> DataFrame:
@@ -63,28 +75,67 @@ def write_named_archive(lines: DataFrame, path: str, name: str = "archive_key")
     """Lines (archive_key, sequence_number, value) as one gzip file for each batch, under the name that its key says.
 
     A batch has a bounded number of records and bytes, so a task writes each on its own, in its
-    order. Files are written aside and moved to their names one by one, those of one micro-batch
-    that the caller hands over; a file that is there already is replaced. Returns the names.
+    order. A file is written aside and moved to its name; one that is there already is replaced.
+    Under a path of files, which driver and executors share, tasks do both, many side by side and
+    again where one fails. In another store Spark writes the files, and the driver has them moved
+    to their names MOVES at a time. Returns the names.
     """
     spark = lines.sparkSession
-    aside = f"{path}/_named-{uuid.uuid4().hex}"
-    rows = lines.select(name, "sequence_number", F.regexp_replace("value", r"\n\z", "").alias("value")).repartition(name).sortWithinPartitions(name, "sequence_number", "value")
-    rows.select(name, "value").write.partitionBy(name).option("compression", "gzip").text(aside)
+    key = F.coalesce(F.nullif(F.col(name).cast("string"), F.lit("")), F.lit(NO_NAME)).alias("key")
+    rows = lines.select(key, "sequence_number", F.regexp_replace("value", r"\n\z", "").alias("value")).repartition("key").sortWithinPartitions("key", "sequence_number", "value")
     to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = to(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files, found = fs.listFiles(to(aside), True), []
-    while files.hasNext():
-        file = files.next().getPath()
-        if file.getName().startswith("part-"):
-            found.append((file, unquote(file.getParent().getName().removeprefix(f"{name}="))))
-    for file, key in found:
+    root, aside = fs.makeQualified(to(path)), f"_named-{uuid.uuid4().hex}"
+    try:
+        if root.toUri().getScheme() == "file":
+            written = rows.select("key", F.col("value").cast("binary").alias("value")).mapInArrow(_named_files(root.toUri().getPath(), aside), "key string")
+            return sorted(r["key"] for r in written.collect())
+        # where a task is written again its files have the same names, and nobody reads the folder before
+        rows.select("key", "value").write.partitionBy("key").option("compression", "gzip").option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(f"{path}/{aside}")
+        return _move_to_names(to, fs, path, aside)
+    finally:
+        fs.delete(to(f"{path}/{aside}"), True)
+
+
+def _named_files(root: str, aside: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What writes sorted lines (key, value) to a file for each key under a root that all tasks see,
+    and returns the keys. Hadoop's checksum of a file that is replaced goes with it."""
+
+    def write(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = []
+        os.makedirs(f"{root}/{aside}", exist_ok=True)
+        pairs = ((k, v) for part in parts for k, v in zip(part["key"].to_pylist(), part["value"].to_pylist()))
+        for key, group in groupby(pairs, itemgetter(0)):
+            own, target = f"{root}/{aside}/{uuid.uuid4().hex}", f"{root}/{key}"
+            with open(own, "wb") as file, gzip.GzipFile("", "wb", 6, file, 0) as zipped:
+                zipped.writelines((v or b"") + b"\n" for _, v in group)
+            folder, last = os.path.split(target)
+            os.makedirs(folder, exist_ok=True)
+            with suppress(FileNotFoundError):
+                os.unlink(f"{folder}/.{last}.crc")
+            os.replace(own, target)
+            keys.append(key)
+        yield pa.RecordBatch.from_pydict({"key": pa.array(keys, pa.string())})
+
+    return write
+
+
+def _move_to_names(to, fs, path: str, aside: str) -> list[str]:
+    """Move the one file of each key's folder to the key's name; the keys."""
+
+    def move(folder) -> str:
+        (file,) = [f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")]
+        key = unquote(folder.getName().removeprefix("key="))
         target = to(f"{path}/{key}")
         fs.mkdirs(target.getParent())
         fs.delete(target, False)
         if not fs.rename(file, target):
             raise OSError(f"{file} could not be moved to {key}")
-    fs.delete(to(aside), True)
-    return sorted(key for _, key in found)
+        return key
+
+    folders = [f.getPath() for f in fs.listStatus(to(f"{path}/{aside}")) if f.isDirectory()]
+    with ThreadPoolExecutor(MOVES) as pool:
+        return sorted(pool.map(move, folders))
 
 
 def written_files(spark: SparkSession, path: str) -> DataFrame:

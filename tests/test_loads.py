@@ -360,3 +360,38 @@ def test_batches_are_written_under_their_names(spark, tmp_path):
         with gzip.open(f"{tmp_path}/a/{name}", "rt") as f:
             assert f.read().splitlines() == want
     assert not list(tmp_path.glob("a/_named*"))
+
+
+def test_tasks_write_the_files_of_their_batches(spark, tmp_path, monkeypatch):
+    """Under a shared path the driver moves nothing; a file of before is replaced with its checksum."""
+    monkeypatch.setattr(archive, "_move_to_names", None)
+    old = spark.createDataFrame([("a",)], "value string").coalesce(1)
+    old.write.option("compression", "gzip").text(f"{tmp_path}/old")
+    part = next((tmp_path / "old").glob("part-*"))
+    (tmp_path / "n/x").mkdir(parents=True)
+    part.rename(tmp_path / "n/x/k.gz")
+    part.with_name(f".{part.name}.crc").rename(tmp_path / "n/x/.k.gz.crc")
+    rows = [("x/k.gz", 2, "zwei"), ("x/k.gz", 1, "ein\n"), ("x/k.gz", 3, None), ("é =%.gz", 1, "ü"), (None, 1, "lost"), ("", 2, "too")]
+    df = spark.createDataFrame(rows, "archive_key string, sequence_number long, value string").repartition(3)
+    assert archive.write_named_archive(df, f"file://{tmp_path}/n") == sorted(["x/k.gz", "é =%.gz", archive.NO_NAME])
+    assert [r["value"] for r in spark.read.text(f"{tmp_path}/n/x/k.gz").collect()] == ["ein", "zwei", ""]
+    for key, want in (("é =%.gz", ["ü"]), (archive.NO_NAME, ["lost", "too"])):
+        with gzip.open(f"{tmp_path}/n/{key}", "rt") as f:
+            assert f.read().splitlines() == want
+    assert not list(tmp_path.glob("n/_named*"))
+    with pytest.raises(Exception, match="lost"):
+        archive.write_named_archive(df.withColumn("value", F.raise_error(F.lit("lost")).cast("string")), f"{tmp_path}/n")
+    assert not list(tmp_path.glob("n/_named*"))
+    assert archive.write_named_archive(df.limit(0), f"{tmp_path}/n") == []
+
+
+def test_batches_in_a_store_that_only_spark_reads(spark, tmp_path):
+    """Spark writes the files and they are moved to their names; a second time replaces them."""
+    (tmp_path / "real").mkdir()
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.named.link./out", f"file:{tmp_path}/real")
+    df = spark.createDataFrame([(f"h{i % 7}/b={i % 3}.gz", i, f"{i:03d}") for i in range(100)], "archive_key string, sequence_number long, value string").repartition(4)
+    for _ in range(2):
+        assert archive.write_named_archive(df, "viewfs://named/out/a") == sorted({f"h{i % 7}/b={i % 3}.gz" for i in range(100)})
+    with gzip.open(tmp_path / "real/a/h2/b=1.gz", "rt") as f:
+        assert f.read().splitlines() == [f"{i:03d}" for i in range(100) if i % 7 == 2 and i % 3 == 1]
+    assert not list(tmp_path.glob("real/a/_named*"))
