@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from questlog.config import Limits
 from questlog.operators import lifecycle, load
+from questlog.plans import queries
 from questlog.sources import archive, ledger
 from questlog.streaming import jobs
 
@@ -197,6 +198,23 @@ def test_a_large_batch_that_adds_nothing(spark, tmp_path, monkeypatch):
     assert sorted(r["event_id"] for r in spark.read.parquet(f"{tmp_path}/t").select("event_id").collect()) == ["a", "b"]
 
 
+def test_streamed_loads_without_broadcasts_against_sql(spark, monkeypatch):
+    """The second run of the query adds nothing; so planned as tables are that are too large for a broadcast."""
+    duckdb = pytest.importorskip("duckdb")
+    monkeypatch.setattr(load, "FEW_KEYS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    d = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{d}/events.parquet'")
+    try:
+        got = queries.QUERIES["stream_load"](spark, d)
+        want = con.sql(f"SELECT {', '.join(got.columns)} FROM ({queries.ORACLE_SQL['stream_load']})").fetchall()
+        assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_rows_of_a_staged_file_are_sorted(spark, tmp_path):
     """They are counted on the way, behind the exchange, and their order in a file stays."""
     put(spark, f"{tmp_path}/lines", *[{"event_id": f"e{i}", "event_timestamp": JAN + i * 7919 % 1000, "event_type": f"t{i % 3}"} for i in range(300)])
